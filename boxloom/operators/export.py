@@ -134,11 +134,8 @@ def rectangle_labels(samples: DataFrame) -> DataFrame:
     """Distinct display labels of all objects; a single default label when there are no objects."""
     found = samples.select(F.explode("objects.object_type").alias("object_type")).distinct()
     labels = found.select(display_label(F.col("object_type")).alias("label")).distinct()
-    default = samples.sparkSession.range(1).select(
-        F.lit(vocab.DEFAULT_RECTANGLE_LABEL).alias("label"), F.lit(1).alias("_one")
-    )
-    any_label = labels.limit(1).select(F.lit(1).alias("_one"))
-    return labels.unionByName(default.join(any_label, "_one", "left_anti").select("label"))
+    default = labels.agg(F.count("*").alias("n")).filter("n = 0")
+    return labels.unionByName(default.select(F.lit(vocab.DEFAULT_RECTANGLE_LABEL).alias("label")))
 
 
 def exploded_labels(samples: DataFrame, order: str = "sample_id") -> DataFrame:
