@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boxloom.operators import boxes, detect, replies, samples
-from boxloom.operators.classify import read_answers
+from boxloom.operators.classify import classify_with_answers, read_answers
 from boxloom.operators.review import verdict
 from boxloom.params import BoxFilter, Classifier, RectangleService, ReviewPolicy, Run
 from catalog.geometry import percent_fit
@@ -143,7 +143,7 @@ def answers(t: Tables) -> DataFrame:
 def detected(t: Tables) -> DataFrame:
     """Samples with the objects their detection replies name."""
     rows = scenes(t).withColumn("task_key", F.lit("ppe_person"))
-    base = samples.base_samples(rows, RUN, keep=("task_key",))
+    base = samples.base_samples(rows, RUN, keep=("task_key", "k"))
     payloads = replies.parse_replies(detection_replies(t), "detection")
     return detect.detect(base, payloads, SERVICES)
 
@@ -154,6 +154,13 @@ def cropped(t: Tables) -> DataFrame:
     return samples.advance(boxes.attach_crops(kept, "crops", RATIO), "cropped", RUN.now)
 
 
+def classified(t: Tables) -> DataFrame:
+    """Cropped scenes with answers applied, every 31st sample discarded afterwards."""
+    done = classify_with_answers(cropped(t), answers(t), CLASSIFIER, ("generated",), RUN)
+    discarded = F.col("workflow").withField("workflow_status", F.lit("discarded"))
+    return done.withColumn("workflow", F.when(F.col("k") % 31 == 0, discarded).otherwise(F.col("workflow"))).drop("k")
+
+
 def object_rows(rows: DataFrame, *more: str) -> DataFrame:
     return rows.select("sample_id", *more, F.explode("objects").alias("o"))
 
