@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,17 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def bind(rows: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """Add or replace columns that are costly to compute, evaluated exactly once per row.
+
+    The optimizer copies a projected expression into every filter it pushes down, also into the ones it
+    infers from `explode`, and nested copies multiply. Values that come out of `inline` are not copied.
+    """
+    kept = [name for name in rows.columns if name not in values]
+    row = F.struct(*[value.alias(name) for name, value in values.items()])
+    return rows.select(*kept, F.inline(F.array(row)))
+
+
 def null(kind: str | T.DataType) -> Column:
     return F.lit(None).cast(kind)
 

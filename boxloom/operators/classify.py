@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from boxloom import schema, vocab
 from boxloom.functions.columns import (
+    bind,
     is_boolean,
     is_object,
     item,
@@ -277,7 +278,7 @@ def classify_with_answers(
 
     skipped = is_skipped(skip_source_types)
     settled = F.transform(F.transform("objects", outcome), settle)
-    done = joined.withColumn("objects", F.when(skipped, F.col("objects")).otherwise(settled)).drop("answers")
+    done = bind(joined, {"objects": F.when(skipped, F.col("objects")).otherwise(settled)}).drop("answers")
     return advance(done, "classified", run.now_utc, when=~skipped)
 
 

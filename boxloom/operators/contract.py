@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from boxloom import schema, vocab
 from boxloom.functions.columns import (
+    bind,
     is_boolean,
     is_explicit_null,
     is_object,
@@ -154,7 +155,7 @@ def normalize_documents(documents: DataFrame, run: Run, raw: str = "raw_json") -
     Keeps the input columns and adds `is_object`, whether the text is a JSON object at all. Keys outside
     the schema are dropped here and reported by `schema_findings`.
     """
-    parsed = documents.withColumn("_doc", F.try_parse_json(raw)).withColumn(
+    parsed = bind(documents, {"_doc": F.try_parse_json(raw)}).withColumn(
         "is_object", F.col("_doc").isNotNull() & (F.left(F.ltrim(F.col(raw)), F.lit(1)) == "{")
     )
     doc = F.col("_doc")
@@ -214,16 +215,15 @@ def normalize_documents(documents: DataFrame, run: Run, raw: str = "raw_json") -
     )
     # already typed input columns of the same name would be ambiguous downstream
     kept = [name for name in documents.columns if name not in schema.SAMPLE.fieldNames()]
-    return parsed.select(
-        *kept,
-        "is_object",
-        _text(doc, "sample_id").alias("sample_id"),
-        _member_object(doc, "image_asset", image_asset).cast(schema.IMAGE_ASSET).alias("image_asset"),
-        objects.alias("objects"),
-        policy.cast(schema.QC_POLICY).alias("qc_policy"),
-        _member_object(doc, "workflow", workflow).cast(schema.WORKFLOW).alias("workflow"),
-        _member_object(doc, "export", export).cast(schema.EXPORT).alias("export"),
-    )
+    normalized = {
+        "sample_id": _text(doc, "sample_id"),
+        "image_asset": _member_object(doc, "image_asset", image_asset).cast(schema.IMAGE_ASSET),
+        "objects": objects,
+        "qc_policy": policy.cast(schema.QC_POLICY),
+        "workflow": _member_object(doc, "workflow", workflow).cast(schema.WORKFLOW),
+        "export": _member_object(doc, "export", export).cast(schema.EXPORT),
+    }
+    return bind(parsed.select(*kept, "is_object", "_doc"), normalized).drop("_doc")
 
 
 # --- contract rules ---------------------------------------------------------------------------------
@@ -423,7 +423,7 @@ def violations() -> Column:
 
 def validate(samples: DataFrame) -> DataFrame:
     """Add `violations` and `first_violation` (message, null when the sample is valid)."""
-    return samples.withColumn("violations", violations()).withColumn(
+    return bind(samples, {"violations": violations()}).withColumn(
         "first_violation", F.get("violations", F.lit(0)).getField("message")
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from boxloom import schema, vocab
 from boxloom.functions.columns import (
+    bind,
     is_array,
     is_explicit_null,
     item,
@@ -273,7 +274,7 @@ def detect(samples: DataFrame, payloads: DataFrame, services: dict[str, Rectangl
     joined = samples.drop("objects").join(
         payloads.select("sample_id", "payload", "request_width", "request_height"), "sample_id", "left"
     )
-    found = joined.withColumn("_found", detected_objects(services))
+    found = bind(joined, {"_found": detected_objects(services)})
     return (
         found.withColumn("objects", F.coalesce("_found.objects", F.array().cast(OBJECTS)))
         .withColumn("n_bad", F.coalesce("_found.n_bad", F.lit(0)))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boxloom import vocab
+from boxloom.functions.columns import bind
 from boxloom.functions.text import first_json, first_object, first_object_or_json, preview
 from boxloom.operators.objects import PART_SIZE, part_of
 
@@ -22,7 +23,7 @@ RULES: dict[str, tuple[Callable[[Column], Column], str]] = {
 def parse_replies(replies: DataFrame, kind: str) -> DataFrame:
     """Add `payload`, `parse_status` (ok / unparseable), `error_class` and `error_preview`."""
     find, error_class = RULES[kind]
-    parsed = replies.withColumn("payload", find(F.col("raw_text")))
+    parsed = bind(replies, {"payload": find(F.col("raw_text"))})
     failed = F.col("payload").isNull()
     return parsed.select(
         "*",

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from boxloom.functions.columns import bind
 from boxloom.operators import boxes, detect, replies, samples
 from boxloom.operators.classify import classify_with_answers, read_answers
 from boxloom.operators.review import verdict
@@ -133,11 +134,12 @@ def answer_replies(t: Tables, attempts: int = 1) -> DataFrame:
 
 def verdicts(t: Tables) -> DataFrame:
     parsed = replies.parse_replies(review_replies(t), "review")
-    return parsed.select("sample_id", "pos", verdict(F.col("payload")).alias("verdict"))
+    return bind(parsed.select("sample_id", "pos", "payload"), {"verdict": verdict(F.col("payload"))}).drop("payload")
 
 
 def answers(t: Tables) -> DataFrame:
-    return answer_replies(t).select("sample_id", "pos", read_answers(F.col("raw_text"), True).alias("answers"))
+    read = bind(answer_replies(t), {"answers": read_answers(F.col("raw_text"), True)})
+    return read.select("sample_id", "pos", "answers")
 
 
 def detected(t: Tables) -> DataFrame:
