@@ -102,16 +102,11 @@ def make_object(
 
 def split_parts(samples: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
     """Cut rows with very many objects into parts; narrow, one row in, usually one row out."""
-    objects = F.coalesce(F.col("objects"), F.array().cast(OBJECTS))
-    last = F.greatest(F.lit(0), F.floor((F.size(objects) - 1) / F.lit(part_size)).cast("int"))
-    parts = F.transform(
-        F.sequence(F.lit(0), last),
-        lambda k: F.struct(
-            k.alias("part_no"), F.slice(objects, k * part_size + 1, F.lit(part_size)).alias("objects")
-        ),
-    )
+    last = F.greatest(F.lit(0), F.floor((F.size("objects") - 1) / F.lit(part_size)).cast("int"))
     kept = [name for name in samples.columns if name not in ("objects", "part_no")]
-    return samples.select(*kept, F.inline(parts))
+    numbered = samples.select(*kept, "objects", F.explode(F.sequence(F.lit(0), last)).alias("part_no"))
+    part = F.slice("objects", F.col("part_no") * part_size + 1, F.lit(part_size))
+    return numbered.withColumn("objects", F.when(F.size("objects") <= part_size, F.col("objects")).otherwise(part))
 
 
 def nest_objects(
