@@ -68,16 +68,25 @@ def read(variant: Column, kind: str, *keys: str) -> Column:
     return F.try_variant_get(variant, path(*keys), kind)
 
 
+def members(variant: Column, *names: str) -> Column:
+    """Several members at once, as a struct of VARIANTs; null when the value is no object.
+
+    One pass over the object, where `item` walks and copies it once per key. Absent members are SQL NULL.
+    """
+    fields = ",".join(f"`{name}`:variant" for name in names)
+    return F.try_variant_get(variant, "$", f"struct<{fields}>")
+
+
+def number(variant: Column) -> Column:
+    return F.try_variant_get(variant, "$", "double")
+
+
 def kind_of(variant: Column) -> Column:
     return F.schema_of_variant(variant)
 
 
 def is_object(variant: Column) -> Column:
-    return F.coalesce(kind_of(variant).startswith("OBJECT<"), F.lit(False))
-
-
-def is_array(variant: Column) -> Column:
-    return F.coalesce(kind_of(variant).startswith("ARRAY<"), F.lit(False))
+    return F.try_variant_get(variant, "$", "struct<`-`:variant>").isNotNull()
 
 
 def is_boolean(variant: Column) -> Column:

@@ -8,14 +8,11 @@ from pyspark.sql import functions as F
 from boxloom import schema, vocab
 from boxloom.functions.columns import (
     bind,
-    is_array,
-    is_explicit_null,
-    item,
-    items_of,
     let,
     lookup,
     nonblank,
     null,
+    number,
     positive_or,
     read,
     text_of,
@@ -25,69 +22,66 @@ from boxloom.functions.geometry import convert_value
 from boxloom.operators.objects import OBJECTS, generated_id, make_object, object_id
 from boxloom.params import BoxService, RectangleService
 
-_VARIANTS = "array<variant>"
+_RESULT = "struct<id:variant,type:string,score:variant,value:variant>"
+_TASK = f"struct<predictions:array<struct<score:variant,result:array<{_RESULT}>>>>"
+_CORNERS = ("x1", "y1", "x2", "y2")
+_RECT = ("x", "y", "width", "height")
+_VALUE = "struct<" + ",".join(f"{name}:variant" for name in _CORNERS + _RECT) + ",rectanglelabels:array<string>>"
 
 
-def _list_or_empty(array: Column) -> Column:
-    return F.coalesce(array, F.array().cast(_VARIANTS))
-
-
-def _given_or(variant: Column, first: str, otherwise: Column) -> Column:
-    """Number under a key that is present, null included; `otherwise` only when the key is absent."""
-    return F.when(item(variant, first).isNotNull(), read(variant, "double", first)).otherwise(otherwise)
+def _given_or(variant: Column, otherwise: Column) -> Column:
+    """Number of a key that is present, null included; `otherwise` only when the key is absent."""
+    return F.when(variant.isNotNull(), number(variant)).otherwise(otherwise)
 
 
 def rectangle_results(payload: Column) -> Column:
     """Rectangle results of a labeling-tool payload, in document order.
 
-    array<struct<result variant, prediction_score double>>; the payload is one task or a list of them.
+    array<struct<id, score, value variant, prediction_score double>>; the payload is one task or a list
+    of them. One typed read takes the payload apart; whatever has another shape is null in it.
     """
-    tasks = F.when(is_array(payload), items_of(payload)).when(payload.isNotNull(), F.array(payload))
+    tasks = F.coalesce(
+        F.try_variant_get(payload, "$", f"array<{_TASK}>"), F.array(F.try_variant_get(payload, "$", _TASK))
+    )
 
     def of_prediction(prediction: Column) -> Column:
-        results = F.filter(
-            _list_or_empty(items_of(item(prediction, "result"))),
-            lambda r: F.coalesce(text_of(item(r, "type")) == "rectanglelabels", F.lit(False)),
+        rectangles = F.filter(prediction["result"], lambda r: F.coalesce(r["type"] == "rectanglelabels", F.lit(False)))
+        score = number(prediction["score"])
+        return F.transform(
+            rectangles,
+            lambda r: F.struct(
+                r["id"].alias("id"),
+                r["score"].alias("score"),
+                r["value"].alias("value"),
+                score.alias("prediction_score"),
+            ),
         )
-        score = read(prediction, "double", "score")
-        return F.transform(results, lambda r: F.struct(r.alias("result"), score.alias("prediction_score")))
 
     def of_task(task: Column) -> Column:
-        predictions = _list_or_empty(items_of(item(task, "predictions")))
-        return F.flatten(F.transform(predictions, of_prediction))
+        return F.flatten(F.filter(F.transform(task["predictions"], of_prediction), lambda found: found.isNotNull()))
 
-    return F.flatten(F.transform(tasks, of_task))
+    return F.flatten(F.filter(F.transform(tasks, of_task), lambda found: found.isNotNull()))
 
 
 def _read_rectangle(entry: Column, service: RectangleService) -> Column:
-    result = entry.getField("result")
-
     def fields(value: Column) -> Column:
-        label = let(
-            items_of(item(value, "rectanglelabels")),
-            lambda labels: F.when(F.size(labels) > 0, F.try_variant_get(F.get(labels, F.lit(0)), "$", "string")).otherwise(
-                F.lit(service.target_label)
-            ),
-        )
-
-        def present(*names: str) -> Column:
-            found = F.lit(True)
-            for name in names:
-                found = found & item(value, name).isNotNull()
-            return found
+        def present(names: tuple[str, ...]) -> Column:
+            found = value[names[0]].isNotNull()
+            for name in names[1:]:
+                found = found & value[name].isNotNull()
+            return F.coalesce(found, F.lit(False))
 
         return F.struct(
-            value.alias("value"),
-            F.coalesce(label, F.lit(service.target_label)).alias("label"),
-            item(result, "id").alias("source_id"),
-            _given_or(result, "score", entry.getField("prediction_score")).alias("confidence"),
-            present("x1", "y1", "x2", "y2").alias("has_corners"),
-            present("x", "y", "width", "height").alias("has_rect"),
-            *[read(value, "double", name).alias(name) for name in ("x1", "y1", "x2", "y2")],
-            *[read(value, "double", name).alias(name) for name in ("x", "y", "width", "height")],
+            entry["value"].alias("value"),
+            F.coalesce(F.get(value["rectanglelabels"], F.lit(0)), F.lit(service.target_label)).alias("label"),
+            entry["id"].alias("source_id"),
+            _given_or(entry["score"], entry["prediction_score"]).alias("confidence"),
+            present(_CORNERS).alias("has_corners"),
+            present(_RECT).alias("has_rect"),
+            *[number(value[name]).alias(name) for name in _CORNERS + _RECT],
         )
 
-    return let(F.coalesce(item(result, "value"), F.parse_json(F.lit("{}"))), fields)
+    return let(F.try_variant_get(entry["value"], "$", _VALUE), fields)
 
 
 def rectangle_objects(
@@ -173,28 +167,20 @@ def rectangle_objects(
 
 def coerce_box(raw: Column) -> Column:
     """Box from {x1, y1, x2, y2} or a list of four, truncated to integers; null for any other shape."""
+    listed = F.try_variant_get(raw, "$", "array<int>")
+    named = F.try_variant_get(raw, "$", "struct<x1:int,y1:int,x2:int,y2:int>")
 
-    def from_corners(get) -> Column:
-        corners = [get(i).alias(name) for i, name in enumerate(("x1", "y1", "x2", "y2"))]
-        return let(
-            F.struct(F.lit("xyxy").alias("format"), *corners),
-            lambda box: F.when(
-                box.getField("x1").isNotNull()
-                & box.getField("y1").isNotNull()
-                & box.getField("x2").isNotNull()
-                & box.getField("y2").isNotNull(),
-                box,
-            ),
-        )
+    def shape(found: Column) -> Column:
+        def corner(i: int) -> Column:
+            return F.coalesce(F.get(found["listed"], F.lit(i)), found["named"][_CORNERS[i]])
 
-    def shape(value: Column) -> Column:
-        names = ("x1", "y1", "x2", "y2")
-        listed = F.size(items_of(value)) == 4
-        return F.when(is_array(value) & listed, from_corners(lambda i: F.try_variant_get(value, f"$[{i}]", "int"))).when(
-            ~is_array(value), from_corners(lambda i: read(value, "int", names[i]))
-        )
+        whole = F.coalesce(F.size(found["listed"]), F.lit(4)) == 4
+        for i in range(4):
+            whole = whole & corner(i).isNotNull()
+        box = F.struct(F.lit("xyxy").alias("format"), *[corner(i).alias(name) for i, name in enumerate(_CORNERS)])
+        return F.when(whole, box)
 
-    return let(raw, shape)
+    return let(F.struct(listed.alias("listed"), named.alias("named")), shape)
 
 
 def _truthy_or(first: Column, second: Column) -> Column:
@@ -207,38 +193,50 @@ def listed_objects(payload: Column, service: BoxService) -> Column:
     Ordinals are list positions, so an unreadable entry still takes its number.
     """
     field = service.objects_field if service.response_format == "objects" else service.boxes_field
-    entries = _list_or_empty(items_of(item(payload, field)))
+    members = {
+        service.label_field: "string",
+        service.confidence_field: "double",
+        service.bbox_field: "variant",
+        "box": "variant",
+        "confidence": "variant",
+        "object_type": "string",
+        "object_id": "string",
+        "polygon": "array<array<double>>",
+        "mask_uri": "string",
+        "mask_format": "string",
+    }
+    shape = ",".join(f"`{name}`:{kind}" for name, kind in members.items())
+    entries = read(payload, f"array<struct<{shape}>>", field)
 
     def build(entry: Column, i: Column) -> Column:
-        label = read(entry, "string", service.label_field)
+        label = entry[service.label_field]
         object_type = F.coalesce(
-            nonblank(read(entry, "string", "object_type")),
+            nonblank(entry["object_type"]),
             nonblank(F.coalesce(lookup(service.object_type_map, label), label)),
             F.lit(service.default_object_type),
         )
-        confidence = _given_or(entry, "confidence", read(entry, "double", service.confidence_field))
-        identifier = F.coalesce(nonblank(read(entry, "string", "object_id")), generated_id("obj", i + 1))
+        score = entry[service.confidence_field].cast("double")
         return make_object(
             i,
-            identifier,
+            F.coalesce(nonblank(entry["object_id"]), generated_id("obj", i + 1)),
             object_type,
-            coerce_box(_truthy_or(item(entry, "box"), item(entry, service.bbox_field))),
+            coerce_box(_truthy_or(entry["box"], entry[service.bbox_field])),
             F.lit(service.geometry_source),
             service.model_name,
             service.model_version,
-            confidence,
-            polygon=read(entry, "array<array<double>>", "polygon"),
-            mask_uri=read(entry, "string", "mask_uri"),
-            mask_format=read(entry, "string", "mask_format"),
+            _given_or(entry["confidence"], score),
+            polygon=entry["polygon"],
+            mask_uri=entry["mask_uri"],
+            mask_format=entry["mask_format"],
         )
 
     def assemble(built: Column) -> Column:
         return let(
-            F.filter(built, lambda o: o.getField("box").isNotNull()),
+            F.filter(built, lambda o: o["box"].isNotNull()),
             lambda kept: F.struct(kept.alias("objects"), (F.size(built) - F.size(kept)).alias("n_bad")),
         )
 
-    return let(F.transform(entries, build), assemble)
+    return let(F.transform(F.coalesce(entries, F.array().cast(f"array<struct<{shape}>>")), build), assemble)
 
 
 def detected_objects(services: dict[str, RectangleService | BoxService]) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boxloom import vocab
-from boxloom.functions.columns import lookup
+from boxloom.functions.columns import bind, lookup
 from boxloom.operators import boxes, classify, detect, objects, replies, review, samples, scoring
 from boxloom.params import BoxService, CropGuard, Classifier, RectangleService, ReviewPolicy
 from catalog import scenes as sc
@@ -110,7 +110,7 @@ def d2(t: Tables) -> DataFrame:
     found = F.when(F.col("l_linenumber") % 2 == 0, detect.listed_objects(F.col("payload"), BOXES)).otherwise(
         detect.listed_objects(F.col("payload"), FOUND)
     )
-    rows = parsed.withColumn("found", found).select(
+    rows = bind(parsed, {"found": found}).select(
         "l_orderkey", "l_linenumber", "l_partkey", F.explode("found.objects").alias("o")
     )
     return rows.select(
