@@ -110,19 +110,15 @@ def items_of(variant: Column) -> Column:
 def truthy(variant: Column) -> Column:
     """JSON truth as annotation scripts apply it: absent, null, false, 0, '' and empty containers are false."""
 
-    def decide(value: Column) -> Column:
-        kind = kind_of(value)
+    def decide(both: Column) -> Column:
+        value, kind = both["value"], both["kind"]
         return (
-            F.when(value.isNull() | (kind == "VOID"), F.lit(False))
+            F.when(kind.isNull() | (kind == "VOID"), F.lit(False))
             .when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
             .when(kind == "STRING", F.try_variant_get(value, "$", "string") != "")
             .when(kind.startswith("OBJECT<"), kind != "OBJECT<>")
             .when(kind.startswith("ARRAY<"), F.size(items_of(value)) > 0)
-            .otherwise(F.coalesce(F.try_variant_get(value, "$", "double") != 0.0, F.lit(True)))
+            .otherwise(F.coalesce(number(value) != 0.0, F.lit(True)))
         )
 
-    return F.coalesce(let(variant, decide), F.lit(False))
-
-
-def distinct_items(array: Column) -> Column:
-    return F.array_sort(F.array_distinct(array))
+    return let(F.struct(variant.alias("value"), kind_of(variant).alias("kind")), decide)

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from boxloom import schema
 from boxloom.functions.columns import let, null, positive_or
 
 UNIT = "struct<box:struct<format:string,x1:int,y1:int,x2:int,y2:int>,unit:string>"
@@ -133,7 +132,7 @@ def convert_value(
     units = (coordinate_units or "auto").lower()
 
     def tagged(box: Column, unit: Column) -> Column:
-        return F.struct(box.cast(schema.BOX).alias("box"), unit.alias("unit"))
+        return F.struct(box.alias("box"), unit.alias("unit"))
 
     def numeric(values: tuple[Column, ...]) -> Column:
         usable = F.lit(True)

@@ -20,7 +20,7 @@ from boxloom.functions.columns import (
     truthy,
 )
 from boxloom.functions.geometry import box_height, box_width
-from boxloom.functions.text import clean_note, first_object_or_json
+from boxloom.functions.text import clean_note, cut_before, first_object_or_json
 from boxloom.operators.boxes import crop_problem
 from boxloom.operators.objects import map_objects
 from boxloom.operators.replies import align, at_position
@@ -145,38 +145,32 @@ def prose_answers(text: Column) -> Column:
             piece.alias("piece"),
         )
 
-    def build(found: Column) -> Column:
-        def first_for(key: Column) -> Column:
-            return F.get(F.filter(found, lambda f: f.getField("key") == key), F.lit(0))
-
-        def answer(key: Column) -> Column:
-            value = F.coalesce(first_for(key).getField("word") == "true", F.lit(False))
-            return F.struct(key.alias("key"), value.cast("variant").alias("value"))
+    def entry(key: Column, value: Column) -> Column:
+        return F.struct(key.alias("key"), value.cast("variant").alias("value"))
 
-        def note(key: Column) -> Column:
-            def text_for(hit: Column) -> Column:
-                return F.when(hit.isNull(), F.lit(vocab.NOTE_NO_EXPLICIT_VALUE)).otherwise(
-                    nonblank(clean_note(hit.getField("piece")))
-                )
-
-            said = let(first_for(key), text_for)
-            return F.when(said.isNotNull(), F.struct(key.alias("key"), said.cast("variant").alias("value")))
-
-        keys = strings(vocab.ANSWER_KEYS)
-        parser_tag = F.create_map(F.lit("_parser"), F.lit(vocab.PROSE_PARSER_TAG).cast("variant"))
-        notes = F.map_concat(parser_tag, F.map_from_entries(F.array_compact(F.transform(keys, note))))
-        extras = F.create_map(
-            F.lit("notes"),
-            F.to_variant_object(notes),
-            F.lit("_parse_mode"),
-            F.lit(vocab.PROSE_MODE_TAG).cast("variant"),
-            F.lit("_raw_text_preview"),
-            clean_note(text, 500).cast("variant"),
+    def build(found: Column) -> Column:
+        keys = found["key"]
+        firsts = F.filter(found, lambda f, i: F.array_position(keys, f["key"]) == i + 1)
+        missing = F.array_except(strings(vocab.ANSWER_KEYS), keys)
+        answers = F.concat(
+            F.transform(firsts, lambda f: entry(f["key"], f["word"] == "true")),
+            F.transform(missing, lambda key: entry(key, F.lit(False))),
         )
-        answers = F.map_from_entries(F.transform(keys, answer))
-        return F.when(F.size(found) > 0, F.to_variant_object(F.map_concat(answers, extras)))
+        said = F.transform(firsts, lambda f: F.struct(f["key"].alias("key"), clean_note(f["piece"]).alias("note")))
+        notes = F.concat(
+            F.array(entry(F.lit("_parser"), F.lit(vocab.PROSE_PARSER_TAG))),
+            F.transform(F.filter(said, lambda n: n["note"] != ""), lambda n: entry(n["key"], n["note"])),
+            F.transform(missing, lambda key: entry(key, F.lit(vocab.NOTE_NO_EXPLICIT_VALUE))),
+        )
+        extras = F.array(
+            F.struct(F.lit("notes").alias("key"), F.to_variant_object(F.map_from_entries(notes)).alias("value")),
+            entry(F.lit("_parse_mode"), F.lit(vocab.PROSE_MODE_TAG)),
+            entry(F.lit("_raw_text_preview"), clean_note(text, 500)),
+        )
+        reply = F.to_variant_object(F.map_from_entries(F.concat(answers, extras)))
+        return F.when(F.size(found) > 0, reply)
 
-    pieces = F.transform(F.split(text, f"(?i)(?={_MENTION})"), piece_answer)
+    pieces = F.transform(cut_before(text, f"(?i:{_MENTION})"), piece_answer)
     usable = F.filter(pieces, lambda p: (p.getField("key") != "") & p.getField("word").isNotNull())
     return F.when(F.length(text) > 0, let(usable, build))
 
@@ -189,6 +183,17 @@ def read_answers(text: Column, text_fallback: bool = False) -> Column:
     return F.coalesce(found, normalize_answers(prose_answers(text)))
 
 
+def answers_readable(text: Column, text_fallback: bool = False) -> Column:
+    """Whether `read_answers` finds anything, without building it.
+
+    In prose some piece answers exactly when a true/false word follows the first mention of a key.
+    """
+    found = first_object_or_json(text).isNotNull()
+    if text_fallback:
+        found = found | F.coalesce(text.rlike(rf"(?is){_MENTION}.*?(?U:\b(true|false)\b)"), F.lit(False))
+    return found
+
+
 def classification_struct(raw: Column, classifier: Classifier) -> Column:
     """Classification record with labels and classifier provenance."""
     return F.struct(

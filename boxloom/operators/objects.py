@@ -97,7 +97,7 @@ def make_object(
         pending_crop(identifier).alias("crop"),
         empty_classification().alias("classification"),
         null(schema.QUALITY_CHECK).alias("quality_check"),
-    ).cast(schema.WORK_OBJECT)
+    )
 
 
 def split_parts(samples: DataFrame, part_size: int = PART_SIZE) -> DataFrame:

@@ -54,6 +54,23 @@ def first_parseable(
     )
 
 
+def readable(kind: str) -> Column:
+    """Whether a reply parses, for deciding on attempts before anything is read from it."""
+    return RULES[kind][0](F.col("raw_text")).isNotNull()
+
+
+def of_attempt(replies: DataFrame, chosen: DataFrame, keys: list[str]) -> DataFrame:
+    """One reply per key from each sample's chosen attempt (sample_id, attempt), as raw text."""
+    values = [name for name in replies.columns if name not in (*keys, "sample_id", "attempt")]
+    reply = F.min(F.struct("raw_text", *[name for name in values if name != "raw_text"]))
+    return (
+        replies.join(chosen, ["sample_id", "attempt"])
+        .groupBy(*keys)
+        .agg(reply.alias("_reply"))
+        .select(*keys, "_reply.*")
+    )
+
+
 def choose_attempts(stages: list[DataFrame], max_attempts: int = 3) -> DataFrame:
     """sample_id and `attempt`: the first attempt in which every reply of every stage was readable.
 
