@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_NESTED = (T.StructType, T.ArrayType, T.MapType, T.VariantType)
+
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate `value` once per row and use it any number of times in `body`."""
@@ -19,10 +21,15 @@ def bind(rows: DataFrame, values: dict[str, Column]) -> DataFrame:
 
     The optimizer copies a projected expression into every filter it pushes down, also into the ones it
     infers from `explode`, and nested copies multiply. Values that come out of `inline` are not copied.
+    Plain columns pass beside it, so join keys keep their partitioning. Structs and arrays pass through
+    it: Spark 4.1 can lose track of a struct's fields when they are read across a generator.
     """
-    kept = [name for name in rows.columns if name not in values]
-    row = F.struct(*[value.alias(name) for name, value in values.items()])
-    return rows.select(*kept, F.inline(F.array(row)))
+    plain, nested = [], []
+    for field in rows.schema.fields:
+        if field.name not in values:
+            (nested if isinstance(field.dataType, _NESTED) else plain).append(field.name)
+    row = F.struct(*nested, *[value.alias(name) for name, value in values.items()])
+    return rows.select(*plain, F.inline(F.array(row)))
 
 
 def null(kind: str | T.DataType) -> Column:

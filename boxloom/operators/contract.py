@@ -429,7 +429,7 @@ def validate(samples: DataFrame) -> DataFrame:
 
 
 def violation_rows(validated: DataFrame, *keys: str) -> DataFrame:
-    return validated.select(*keys, F.posexplode("violations").alias("n", "_v")).select(*keys, "n", "_v.*")
+    return validated.select(*keys, F.posexplode("violations").alias("place", "_v")).select(*keys, "place", "_v.*")
 
 
 def split_valid(samples: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -37,7 +37,7 @@ def asset_kind(path: Column) -> Column:
 def list_assets(spark: SparkSession, root: str, kind: str) -> DataFrame:
     """All files of one kind below `root`; a missing root is an empty listing.
 
-    File contents are never read: only the listing columns are selected.
+    File contents are never read: only the listing columns are selected. Empty files are not listed.
     """
     try:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
