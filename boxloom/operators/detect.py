@@ -19,7 +19,7 @@ from boxloom.functions.columns import (
     truthy,
 )
 from boxloom.functions.geometry import convert_value
-from boxloom.operators.objects import OBJECTS, generated_id, make_object, object_id
+from boxloom.operators.objects import OBJECTS, generated_id, make_object, object_id, split_parts
 from boxloom.params import BoxService, RectangleService
 
 _RESULT = "struct<id:variant,type:string,score:variant,value:variant>"
@@ -267,14 +267,16 @@ def detected_objects(services: dict[str, RectangleService | BoxService]) -> Colu
 def detect(samples: DataFrame, payloads: DataFrame, services: dict[str, RectangleService | BoxService]) -> DataFrame:
     """Fill `objects` of samples (with task_key) from payloads (sample_id, payload, request sizes).
 
-    A left join: an image without a reply keeps an empty list. `n_bad` counts unreadable results.
+    A left join: an image without a reply keeps an empty list. `n_bad` counts unreadable results. Rows come
+    out in parts (see `split_parts`).
     """
     joined = samples.drop("objects").join(
         payloads.select("sample_id", "payload", "request_width", "request_height"), "sample_id", "left"
     )
     found = bind(joined, {"_found": detected_objects(services)})
-    return (
+    filled = (
         found.withColumn("objects", F.coalesce("_found.objects", F.array().cast(OBJECTS)))
         .withColumn("n_bad", F.coalesce("_found.n_bad", F.lit(0)))
         .drop("_found", "payload", "request_width", "request_height")
     )
+    return split_parts(filled)

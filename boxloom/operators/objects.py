@@ -101,12 +101,19 @@ def make_object(
 
 
 def split_parts(samples: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
-    """Cut rows with very many objects into parts; narrow, one row in, usually one row out."""
-    last = F.greatest(F.lit(0), F.floor((F.size("objects") - 1) / F.lit(part_size)).cast("int"))
+    """Cut rows with very many objects into the parts their positions belong to.
+
+    Narrow: one row in, nearly always the same row out. An object's part follows from its `pos` alone, so
+    filters before or after do not move it.
+    """
     kept = [name for name in samples.columns if name not in ("objects", "part_no")]
-    numbered = samples.select(*kept, "objects", F.explode(F.sequence(F.lit(0), last)).alias("part_no"))
-    part = F.slice("objects", F.col("part_no") * part_size + 1, F.lit(part_size))
-    return numbered.withColumn("objects", F.when(F.size("objects") <= part_size, F.col("objects")).otherwise(part))
+    parts = F.array_distinct(F.transform("objects", lambda o: part_of(o["pos"], part_size)))
+    some = F.when(F.size("objects") > 0, parts).otherwise(F.array(F.lit(0)))
+    split = samples.withColumn("_parts", some).select(
+        *kept, "objects", F.size("_parts").alias("_n"), F.explode("_parts").alias("part_no")
+    )
+    own = F.filter("objects", lambda o: part_of(o["pos"], part_size) == F.col("part_no"))
+    return split.withColumn("objects", F.when(F.col("_n") == 1, F.col("objects")).otherwise(own)).drop("_n")
 
 
 def nest_objects(

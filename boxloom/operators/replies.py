@@ -60,15 +60,13 @@ def readable(kind: str) -> Column:
 
 
 def of_attempt(replies: DataFrame, chosen: DataFrame, keys: list[str]) -> DataFrame:
-    """One reply per key from each sample's chosen attempt (sample_id, attempt), as raw text."""
-    values = [name for name in replies.columns if name not in (*keys, "sample_id", "attempt")]
-    reply = F.min(F.struct("raw_text", *[name for name in values if name != "raw_text"]))
-    return (
-        replies.join(chosen, ["sample_id", "attempt"])
-        .groupBy(*keys)
-        .agg(reply.alias("_reply"))
-        .select(*keys, "_reply.*")
-    )
+    """One reply per key from each sample's chosen attempt (sample_id, attempt), as raw text.
+
+    `keys` contain sample_id. Repeated replies are reduced inside each task before anything is joined.
+    """
+    values = [name for name in replies.columns if name not in (*keys, "attempt", "raw_text")]
+    single = replies.groupBy(*keys, "attempt").agg(F.min(F.struct("raw_text", *values)).alias("_reply"))
+    return single.join(chosen, ["sample_id", "attempt"]).select(*keys, "_reply.*")
 
 
 def choose_attempts(stages: list[DataFrame], max_attempts: int = 3) -> DataFrame:
