@@ -29,7 +29,8 @@ def bind(rows: DataFrame, values: dict[str, Column]) -> DataFrame:
         if field.name not in values:
             (nested if isinstance(field.dataType, _NESTED) else plain).append(field.name)
     row = F.struct(*nested, *[value.alias(name) for name, value in values.items()])
-    return rows.select(*plain, F.inline(F.array(row)))
+    # computed in a projection, which is compiled; the generator itself only passes the struct on
+    return rows.select(*plain, row.alias("_row")).select(*plain, F.inline(F.array("_row")))
 
 
 def null(kind: str | T.DataType) -> Column:
