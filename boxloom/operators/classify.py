@@ -12,7 +12,6 @@ from boxloom.functions.columns import (
     bind,
     is_boolean,
     is_object,
-    item,
     let,
     nonblank,
     null,
@@ -22,7 +21,6 @@ from boxloom.functions.columns import (
 from boxloom.functions.geometry import box_height, box_width
 from boxloom.functions.text import clean_note, cut_before, first_object_or_json
 from boxloom.operators.boxes import crop_problem
-from boxloom.operators.objects import map_objects
 from boxloom.operators.replies import align, at_position
 from boxloom.operators.samples import advance
 from boxloom.params import Classifier, Run

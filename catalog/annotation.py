@@ -438,13 +438,6 @@ def prose(flag: str) -> str:
     return f"SELECT doc_id, quiet, {PROSE} AS raw_text FROM (SELECT doc_id, {QUIET.format(flag=flag)} AS quiet FROM documents)"
 
 
-def note_sql(value: str) -> str:
-    from catalog.replies import SPACES, short
-
-    clean = f"trim(regexp_replace(regexp_replace({value}, '[*_`#>-]+', ' ', 'g'), '{SPACES}', ' ', 'g'), ' :;,.')"
-    return f"(SELECT {short('v', 180)} FROM (SELECT {clean} AS v))"
-
-
 @query(
     "k3_prose_answers",
     f"""SELECT doc_id, hat.v AS hard_hat, false AS smoking, false AS fighting,
