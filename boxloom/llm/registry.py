@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from boxloom.llm import op02_phrases, op03_suffixes
+from boxloom.llm import op01_byte_bpe, op02_phrases, op03_suffixes, op05_lines, op07_simhash, op10_hnsw
 
 QUERIES = {
+    "op1_byte_bpe": op01_byte_bpe.query,
     "op2_phrase_dedup": op02_phrases.query,
     "op3_suffix_dedup": op03_suffixes.query,
+    "op5_line_dedup": op05_lines.query,
+    "op7_simhash": op07_simhash.query,
+    "op10_hnsw": op10_hnsw.query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_line_dedup": op05_lines.SQL,
+}

@@ -161,7 +161,8 @@ def candidates(docs: DataFrame, unit: Unit, open_only: str) -> Candidates:
 
     `open_only`: a condition on a segment (copies) that some segment of an anchor must meet to keep it open.
     """
-    recurring = runs(docs, unit, only_anchors=True).groupBy("anchor").count().where("count > 1").select("anchor")
+    # stored, so that the join below has two plain shuffles, of which a hot anchor's can be split at run time
+    recurring = store(runs(docs, unit, only_anchors=True).groupBy("anchor").count().where("count > 1").select("anchor"), "recurring")
     found = store(runs(docs, unit).join(recurring, "anchor", "left_semi"), "runs")
     segments = found.groupBy("anchor", "seg").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("copies"))
     known = store(found.join(segments, ["anchor", "seg"]), "segments")
