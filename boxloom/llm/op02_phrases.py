@@ -94,7 +94,7 @@ def remove_repeated_phrases(docs: DataFrame, length: int = 13) -> DataFrame:
                 yield out.take()
         yield out.take()
 
-    return packed(docs).join(store(gone, "spans"), "doc_id", "left").mapInArrow(keep, "doc_id long, n_words long, n_removed long, kept string")
+    return packed(docs).join(store(gone, "spans").hint("merge"), "doc_id", "left").mapInArrow(keep, "doc_id long, n_words long, n_removed long, kept string")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

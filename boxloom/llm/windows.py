@@ -95,22 +95,22 @@ def lowest(values: np.ndarray, width: int) -> np.ndarray:
     return place
 
 
-def runs_of(units: np.ndarray, unit: Unit) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor hash, first window and number of windows of each run."""
+def runs_of(units: np.ndarray, unit: Unit) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor hash, first window, number of windows, and the anchor's place after the first unit of each run."""
     if len(units) < unit.length:
         none = np.zeros(0, np.int64)
-        return none, none, none
+        return none, none, none, none
     grams = gram_hashes(units, unit.gram)
     place = lowest(grams, unit.length - unit.gram + 1)
     start = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-    return grams[place[start]].view(np.int64), start, np.diff(np.r_[start, len(place)])
+    return grams[place[start]].view(np.int64), start, np.diff(np.r_[start, len(place)]), place[start] - start
 
 
 def runs(docs: DataFrame, unit: Unit, only_anchors: bool = False) -> DataFrame:
-    """One row per run: anchor, and unless only anchors are asked for doc_id, start, n (windows), seg (hash)."""
+    """One row per run: anchor, and unless only anchors are asked for doc_id, start, n (windows), at, seg (hash)."""
     fields = [("anchor", pa.int64())]
     if not only_anchors:
-        fields += [("doc_id", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("seg", pa.int64())]
+        fields += [("doc_id", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("at", pa.int32()), ("seg", pa.int64())]
     schema = pa.schema(fields)
 
     def scan(batches):
@@ -127,7 +127,7 @@ def runs(docs: DataFrame, unit: Unit, only_anchors: bool = False) -> DataFrame:
         for key, text in rows_of(batches, "doc_id", "text"):
             data = (text or "").encode("utf-8", "surrogatepass")
             units = reader.hashes(data)
-            anchor, start, n = runs_of(units, unit)
+            anchor, start, n, at = runs_of(units, unit)
             if not len(anchor):
                 continue
             if only_anchors:
@@ -136,7 +136,7 @@ def runs(docs: DataFrame, unit: Unit, only_anchors: bool = False) -> DataFrame:
                 raw, size = (units.tobytes(), 8) if unit.words else (data, 1)
                 raw, more = memoryview(raw), unit.length - 1
                 seg = [xxh3_64_intdigest(raw[s * size : (s + k + more) * size]) for s, k in zip(start.tolist(), n.tolist(), strict=True)]
-                held.append((anchor, np.full(len(anchor), key), start, n, np.array(seg, np.uint64).view(np.int64)))
+                held.append((anchor, np.full(len(anchor), key), start, n, at, np.array(seg, np.uint64).view(np.int64)))
             weight += len(anchor)
             if weight >= 100_000:
                 yield flush()
@@ -146,14 +146,14 @@ def runs(docs: DataFrame, unit: Unit, only_anchors: bool = False) -> DataFrame:
             yield flush()
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    kind = {"anchor": "long", "doc_id": "long", "start": "int", "n": "int", "seg": "long"}
+    kind = {"anchor": "long", "doc_id": "long", "start": "int", "n": "int", "at": "int", "seg": "long"}
     return texts.mapInArrow(scan, ", ".join(f"{f.name} {kind[f.name]}" for f in schema))
 
 
 @dataclass
 class Candidates:
-    runs: DataFrame  # anchor, seg, doc_id, start, n, first_doc, copies: runs at recurring anchors
-    texts: DataFrame  # anchor, seg, first_doc, copies, kinds, units: one per different segment of an open anchor
+    runs: DataFrame  # anchor, seg, doc_id, start, n, at, first_doc, copies: runs at recurring anchors
+    texts: DataFrame  # anchor, seg, first_doc, copies, kinds, at, units: one per different segment of an open anchor
 
 
 def candidates(docs: DataFrame, unit: Unit, open_only: str) -> Candidates:
@@ -169,18 +169,18 @@ def candidates(docs: DataFrame, unit: Unit, open_only: str) -> Candidates:
     kinds = segments.groupBy("anchor").agg(F.count("*").alias("kinds"), F.max(F.expr(open_only).cast("int")).alias("open")).where("kinds > 1 AND open = 1")
     wanted = (
         known.where("doc_id = first_doc")
-        .groupBy("anchor", "seg", "doc_id", "n", "copies")
+        .groupBy("anchor", "seg", "doc_id", "n", "at", "copies")
         .agg(F.min("start").alias("start"))
         .join(kinds.select("anchor", "kinds"), "anchor")
         .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("anchor", "seg", "start", "n", "copies", "kinds")).alias("wanted"))
+        .agg(F.collect_list(F.struct("anchor", "seg", "start", "n", "at", "copies", "kinds")).alias("wanted"))
     )
     return Candidates(known, store(segment_texts(docs, wanted, unit), "texts"))
 
 
 def segment_texts(docs: DataFrame, wanted: DataFrame, unit: Unit) -> DataFrame:
     """Cut the wanted segments out of their documents; words are joined by one space."""
-    schema = pa.schema([("anchor", pa.int64()), ("seg", pa.int64()), ("first_doc", pa.int64()), ("copies", pa.int64()), ("kinds", pa.int64()), ("units", pa.binary())])
+    schema = pa.schema([("anchor", pa.int64()), ("seg", pa.int64()), ("first_doc", pa.int64()), ("copies", pa.int64()), ("kinds", pa.int64()), ("at", pa.int32()), ("units", pa.binary())])
 
     def cut(batches):
         expand, out = unpacker(), Sink(schema, 4_000_000)
@@ -191,15 +191,14 @@ def segment_texts(docs: DataFrame, wanted: DataFrame, unit: Unit) -> DataFrame:
             for item in items:
                 part = text[item["start"] : item["start"] + item["n"] + unit.length - 1]
                 part = b" ".join(part) if unit.words else part
-                out.add(item["anchor"], item["seg"], key, item["copies"], item["kinds"], part, weight=len(part) + 40)
+                out.add(item["anchor"], item["seg"], key, item["copies"], item["kinds"], item["at"], part, weight=len(part) + 40)
             if out.full():
                 yield out.take()
         yield out.take()
 
-    texts = packed(docs)
     return (
-        texts.join(wanted, "doc_id")
-        .mapInArrow(cut, "anchor long, seg long, first_doc long, copies long, kinds long, units binary")
+        packed(docs).join(wanted.hint("merge"), "doc_id")
+        .mapInArrow(cut, "anchor long, seg long, first_doc long, copies long, kinds long, at int, units binary")
     )
 
 

@@ -59,17 +59,27 @@ def test_strings_against_brute_force(spark, tmp_path, monkeypatch, hot):
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_repeated_suffixes(tmp_path, seed):
+def test_repeated_places(tmp_path, seed):
     rng = np.random.default_rng(seed)
-    texts = [bytes(rng.integers(97, 99, rng.integers(40, 90)).astype(np.uint8)) for _ in range(30)]
-    texts += [texts[0][5:60], b"a" * 80, b"ab" * 40]
+    letters = lambda n: bytes(rng.integers(97, 99, n).astype(np.uint8))
+    middle, texts, at, anchors = b"anchor", [], [], []
+    for i in range(80):
+        before, after = letters(30), letters(30)
+        if i > 10 and rng.random() < 0.7:
+            j = int(rng.integers(0, i))
+            keep = int(rng.integers(0, 25))
+            before = before[: max(0, 30 - keep)] + texts[j][max(0, at[j] - keep) : at[j]]
+            after = texts[j][at[j] + 6 : at[j] + 6 + keep] + after
+        texts.append(before + middle + after)
+        at.append(len(before))
+        anchors.append(i % 3)
     seen = {}
     for i, t in enumerate(texts):
         for k in range(len(t) - 31):
-            seen.setdefault(t[k : k + 32], []).append((i, k))
+            seen.setdefault((anchors[i], k - at[i], t[k : k + 32]), []).append((i, k))
     want = sorted(x for v in seen.values() if len(v) > 1 for x in v)
-    found = op03_suffixes.repeated_suffixes(texts, 32, str(tmp_path))
-    assert sorted((i, int(k)) for i, places in enumerate(found) for k in places) == want
+    found = op03_suffixes.repeated_places(texts, anchors, at, 32, str(tmp_path))
+    assert want and sorted((i, int(k)) for i, places in enumerate(found) for k in places) == want
 
 
 def test_empty_table_and_clashing_columns(spark, tmp_path):
