@@ -205,7 +205,7 @@ def drop_repeated_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20)
                 yield out.take()
         yield out.take()
 
-    return packed(docs).join(store(droppable(refs, min_docs), "droppable"), "doc_id", "left").mapInArrow(
+    return packed(docs).join(store(droppable(refs, min_docs), "droppable").hint("merge"), "doc_id", "left").mapInArrow(
         keep, "doc_id long, n_lines long, n_dropped long, kept string"
     )
 
