@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -62,25 +63,23 @@ class Sink:
         return batch
 
 
-def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and the zstd-compressed UTF-8 text (null: empty), the form in which texts are shuffled."""
-    schema = pa.schema([("doc_id", pa.int64()), ("packed", pa.binary())])
+def packed(docs: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    """doc_id, packed: the zstd-compressed UTF-8 text (null: empty), the form in which texts are shuffled; columns of `also`."""
+    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *also)
+    schema = StructType([chosen.schema["doc_id"], StructField("packed", BinaryType()), *(chosen.schema[c] for c in also)])
 
     def pack(batches):
         import zstandard
 
         squeeze = zstandard.ZstdCompressor(level=3)
-        out = Sink(schema, 4_000_000)
-        for key, text in rows_of(batches, "doc_id", "text"):
-            data = squeeze.compress((text or "").encode("utf-8", "surrogatepass"))
-            out.add(key, data, weight=len(data) + 50)
-            if out.full():
-                yield out.take()
-        yield out.take()
-
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        pack, "doc_id long, packed binary"
-    )
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                batch = whole.slice(at, 500)
+                data = [squeeze.compress((t.as_py() or "").encode("utf-8", "surrogatepass")) for t in batch.column(1)]
+                columns = [batch.column(0), pa.array(data, pa.binary()), *batch.columns[2:]]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "packed", *also])
+
+    return chosen.mapInArrow(pack, schema)
 
 
 def unpacker() -> Callable[[bytes], bytes]:

@@ -17,10 +17,13 @@ by 128-bit digests.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from boxloom.llm.common import Sink, packed, rows_of, store, unpacker
 
@@ -187,27 +190,34 @@ def droppable(refs: DataFrame, min_docs: int = 3) -> DataFrame:
     return passed.join(often, "key").where("doc_id < last_doc").groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
 
 
-def drop_repeated_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20) -> DataFrame:
-    """doc_id, n_lines, n_dropped, kept (the lines that stay, joined by line feeds)."""
+def drop_repeated_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20, also: Sequence[str] = ()) -> DataFrame:
+    """doc_id, n_lines, n_dropped, kept (the lines that stay, joined by line feeds), and the columns of `also`."""
     refs = store(references(docs, min_chars), "references")
-    schema = pa.schema([("doc_id", pa.int64()), ("n_lines", pa.int64()), ("n_dropped", pa.int64()), ("kept", pa.string())])
+    texts = packed(docs, also)
+    long, names = LongType(), ["doc_id", "n_lines", "n_dropped", "kept", *also]
+    schema = StructType(
+        [StructField("doc_id", long), StructField("n_lines", long), StructField("n_dropped", long), StructField("kept", StringType()), *(texts.schema[c] for c in also)]
+    )
 
     def keep(batches):
-        expand, out = unpacker(), Sink(schema, 4_000_000)
-        for doc_id, data, keys in rows_of(batches, "doc_id", "packed", "keys"):
-            lines = left = expand(data).split(b"\n")
-            if keys:
-                gone = set(keys)
-                left = [line for line in lines if _key(line, min_chars) not in gone]
-            kept = b"\n".join(left).decode("utf-8", "replace")
-            out.add(doc_id, len(lines), len(lines) - len(left), kept, weight=len(kept) + 50)
-            if out.full():
-                yield out.take()
-        yield out.take()
-
-    return packed(docs).join(store(droppable(refs, min_docs), "droppable").hint("merge"), "doc_id", "left").mapInArrow(
-        keep, "doc_id long, n_lines long, n_dropped long, kept string"
-    )
+        expand = unpacker()
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                batch = whole.slice(at, 500)
+                n_lines, n_dropped, kept = [], [], []
+                for data, keys in zip(batch.column("packed"), batch.column("keys").to_pylist(), strict=True):
+                    lines = left = expand(data.as_py()).split(b"\n")
+                    if keys:
+                        gone = set(keys)
+                        left = [line for line in lines if _key(line, min_chars) not in gone]
+                    n_lines.append(len(lines))
+                    n_dropped.append(len(lines) - len(left))
+                    kept.append(b"\n".join(left).decode("utf-8", "replace"))
+                columns = [batch.column("doc_id"), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(kept, pa.string())]
+                yield pa.RecordBatch.from_arrays([*columns, *(batch.column(c) for c in also)], names=names)
+
+    gone = store(droppable(refs, min_docs), "droppable")
+    return texts.join(gone.hint("merge"), "doc_id", "left").mapInArrow(keep, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
