@@ -1,10 +1,11 @@
 """Byte-level BPE: encode each distinct word once, join ids back, reassemble by position; decode by a table join.
 
 Texts are cut into pre-tokens by the vocabulary's pattern. A task packs neighbouring documents into chunks: the
-chunk's different pre-tokens, and for each position the number of its pre-token. The pre-tokens of all chunks are
-made distinct by one shuffle, each is encoded once by the merge ranks, the ids are joined back to the chunks that
-hold the word, and each chunk is reassembled by position. Nothing is grouped beyond a chunk of bounded size, and
-a word that every document holds is one row per chunk. Decoding joins ids with the token-byte table, which has one
+chunk's different pre-tokens, and for each position the number of its pre-token. One shuffle by word brings the
+chunks' pre-tokens together, sorted; each distinct word is encoded once by the merge ranks and its ids go to all its
+rows, which are the chunks that hold it. A second shuffle takes the ids back to their chunk, which is reassembled
+by position. Nothing is grouped beyond a chunk of bounded size, and a word that every document holds is one row per
+chunk. Decoding joins ids with the token-byte table, which has one
 row per vocabulary entry and is therefore shipped to the tasks.
 
 Null text: empty, no ids. Every row is encoded by itself, so repeated rows come back repeated. Other columns are
@@ -22,9 +23,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxloom.llm.common import Sink, rows_of, store
+from boxloom.llm.common import Sink, rows_of, shared_dir
 
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 16_000_000
+#: Chunks of a task take numbers after its partition's; a word's reference is its chunk's number and its place there.
+CHUNKS_PER_TASK = 1 << 12
+PLACES = 1 << 31
+#: Ids are sent back in blobs of this many words at most.
+BLOB_WORDS = 200_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -33,22 +39,53 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """32-bit numbers as four planes of bytes, which pack better than the numbers."""
+    return np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _numbers(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
+
+
+def _known(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places, numbers of ids and ids of the words of a blob."""
+    n = 4 * int(np.frombuffer(blob, np.uint32, 1)[0])
+    return np.cumsum(_numbers(blob[4 : 4 + n]), dtype=np.uint32), _numbers(blob[4 + n : 4 + 2 * n]), _numbers(blob[4 + 2 * n :])
+
+
+def _bucketed(chunks: DataFrame) -> DataFrame:
+    """Write the chunks into the shared folder in buckets by chunk, so that ids are joined without moving them."""
+    spark, name = chunks.sparkSession, f"llm_chunks_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = chunks.write.format("parquet").option("compression", "zstd").option("path", f"{shared_dir(spark)}/{name}")
+    writer.bucketBy(buckets, "chunk").saveAsTable(name)
+    return spark.table(name)
+
+
 def _chunks(docs: DataFrame, pattern: str) -> DataFrame:
     schema = pa.schema(
-        [("chunk", pa.string()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("places", pa.binary()), ("words", pa.list_(pa.string()))]
+        [("chunk", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("places", pa.binary()), ("words", pa.list_(pa.string()))]
     )
 
     def cut(batches):
         import regex
         import zstandard
+        from pyspark import TaskContext
 
         find, squeeze = regex.compile(pattern).findall, zstandard.ZstdCompressor(level=3)
         ids, sizes, places, words, held = [], [], [], {}, 0
+        numbers = iter(range(TaskContext.get().partitionId() * CHUNKS_PER_TASK, (TaskContext.get().partitionId() + 1) * CHUNKS_PER_TASK))
 
         def chunk():
             out = Sink(schema)
             flat = np.concatenate(places) if places else np.zeros(0, np.uint32)
-            out.add(uuid.uuid4().hex, ids, sizes, squeeze.compress(flat.tobytes()), list(words))
+            # frequent words first and one plane per byte: numbers pack better
+            often = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
+            number = np.empty(len(words), np.uint32)
+            number[often] = np.arange(len(words), dtype=np.uint32)
+            names = list(words)
+            out.add(next(numbers), ids, sizes, squeeze.compress(_planes(number[flat])), [names[i] for i in often.tolist()])
             return out.take()
 
         for key, text in rows_of(batches, "doc_id", "text"):
@@ -63,27 +100,52 @@ def _chunks(docs: DataFrame, pattern: str) -> DataFrame:
         if ids:
             yield chunk()
 
-    return docs.mapInArrow(cut, "chunk string, doc_ids array<long>, sizes array<int>, places binary, words array<string>")
+    return docs.mapInArrow(cut, "chunk long, doc_ids array<long>, sizes array<int>, places binary, words array<string>")
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, ids: the token ids of each text, without special tokens."""
     spark = docs.sparkSession
     ranks = spark.sparkContext.broadcast(load_ranks(path))
-    chunks = store(_chunks(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), pattern), "chunks")
-    words = chunks.select("chunk", F.posexplode("words").alias("place", "word"))
+    chunks = _bucketed(_chunks(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), pattern))
+    words = chunks.select("chunk", F.posexplode("words").alias("place", "word")).select("word", (F.col("chunk") * PLACES + F.col("place")).alias("ref"))
 
     def merge(batches):
         import tiktoken
+        import zstandard
 
         # the pattern takes the whole word, since words are already cut
         coder = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks.value, special_tokens={})
-        for batch in batches:
-            ids = [coder.encode_ordinary(w) for w in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["word", "ids"])
+        word, ids = None, b""
+        held: dict[int, list] = {}
+        count = 0
+
+        def blobs():
+            squeeze, out = zstandard.ZstdCompressor(level=3), Sink(schema)
+            for chunk, items in held.items():
+                items.sort()
+                places, lists = zip(*items, strict=True)
+                sizes = np.array([len(x) // 4 for x in lists], np.uint32)
+                steps = np.diff(np.array(places, np.uint32), prepend=np.uint32(0))
+                body = [np.uint32(len(items)).tobytes(), _planes(steps), _planes(sizes), _planes(np.frombuffer(b"".join(lists), np.uint32))]
+                out.add(chunk, squeeze.compress(b"".join(body)))
+            held.clear()
+            return out.take()
 
-    encoded = words.select("word").distinct().mapInArrow(merge, "word string, ids array<int>")
-    joined = words.join(encoded, "word").groupBy("chunk").agg(F.collect_list(F.struct("place", "ids")).alias("known"))
+        for batch in batches:
+            for here, ref in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if here != word:
+                    word, ids = here, np.array(coder.encode_ordinary(here), np.uint32).tobytes()
+                held.setdefault(ref // PLACES, []).append((ref % PLACES, ids))
+                count += 1
+                if count >= BLOB_WORDS:
+                    yield blobs()
+                    count = 0
+        yield blobs()
+
+    schema = pa.schema([("chunk", pa.int64()), ("blob", pa.binary())])
+    encoded = words.repartition("word").sortWithinPartitions("word").mapInArrow(merge, "chunk long, blob binary")
+    joined = encoded.groupBy("chunk").agg(F.collect_list("blob").alias("blobs"))
 
     def reassemble(batches):
         import zstandard
@@ -93,22 +155,20 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
             for row in range(batch.num_rows):
                 part = batch.slice(row, 1)
                 column = lambda name, part=part: part.column(part.schema.get_field_index(name))
-                known, sizes = column("known").flatten(), np.asarray(column("sizes").flatten())
-                order = np.argsort(np.asarray(known.field("place"))) if len(known) else np.zeros(0, np.int64)
-                places = np.frombuffer(expand.decompress(column("places")[0].as_py()), np.uint32)
-                lists = known.field("ids").take(pa.array(order[places] if len(places) else np.zeros(0, np.int64)))
+                sizes = np.asarray(column("sizes").flatten())
+                places = _numbers(expand.decompress(column("places")[0].as_py()))
+                known = [_known(expand.decompress(blob)) for blob in column("blobs")[0].as_py() or []]
+                where, lengths, ids = (np.concatenate([k[i] for k in known]) if known else np.zeros(0, np.uint32) for i in range(3))
+                words = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lengths)].astype(np.int32)), pa.array(ids.view(np.int32)))
+                words = words.take(pa.array(np.argsort(where)))
+                lists = words.take(pa.array(places))
                 counts = np.r_[0, np.cumsum(np.asarray(lists.value_lengths(), dtype=np.int64))]
                 ends = counts[np.r_[0, np.cumsum(sizes)].astype(np.int64)].astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(ends), lists.flatten())
                 for at in range(0, len(ids), 500):
                     yield pa.RecordBatch.from_arrays([column("doc_ids").flatten().slice(at, 500), ids.slice(at, 500)], names=["doc_id", "ids"])
 
-    return (
-        chunks.select("chunk", "doc_ids", "sizes", "places")
-        .join(joined, "chunk", "left")
-        .withColumn("known", F.coalesce("known", F.expr("cast(array() as array<struct<place:int,ids:array<int>>>)")))
-        .mapInArrow(reassemble, "doc_id long, ids array<int>")
-    )
+    return chunks.select("chunk", "doc_ids", "sizes", "places").join(joined.hint("merge"), "chunk", "left").mapInArrow(reassemble, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
