@@ -191,12 +191,15 @@ def fold(node):
 def fold_all(nodes: list[tuple]) -> list[tuple]:
     out: list[tuple] = []
     for node in map(fold, nodes):
-        if node[0] == "text" and out and out[-1][0] == "text":
-            out[-1] = ("text", out[-1][1] + node[1])
-        elif node[0] == "if" and node[1] and node[1][0][0] == ("const", True):
-            out += node[1][0][1]
-        elif node != ("if", []):
-            out.append(node)
+        if node[0] == "if":
+            taken = node[1][0][1] if node[1] and node[1][0][0] == ("const", True) else [node] if node[1] else []
+        else:
+            taken = [node]
+        for part in taken:
+            if part[0] == "text" and out and out[-1][0] == "text":
+                out[-1] = ("text", out[-1][1] + part[1])
+            else:
+                out.append(part)
     return out
 
 
