@@ -31,6 +31,14 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, most: int = 1000) -> SparkSession:
+    """Let Arrow batches hold at most `most` rows from now on, since one row may be a whole text."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= most:
+        spark.conf.set(name, str(most))
+    return spark
+
+
 def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
     """Rows of Arrow batches as tuples of Python values, a thousand at a time."""
     for batch in batches:

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxloom.llm.common import Sink, rows_of, shared_dir
+from boxloom.llm.common import Sink, rows_of, shared_dir, small_batches
 
 CHUNK_CHARS = 16_000_000
 #: Chunks of a task take numbers after its partition's; a word's reference is its chunk's number and its place there.
@@ -80,12 +80,12 @@ def _chunks(docs: DataFrame, pattern: str) -> DataFrame:
         def chunk():
             out = Sink(schema)
             flat = np.concatenate(places) if places else np.zeros(0, np.uint32)
-            # frequent words first and one plane per byte: numbers pack better
-            often = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
+            # frequent words first, so numbers pack better; words of one frequency in order, so words do
+            names, counts = list(words), np.bincount(flat, minlength=len(words)).tolist()
+            often = sorted(range(len(names)), key=lambda i: (-counts[i], names[i]))
             number = np.empty(len(words), np.uint32)
             number[often] = np.arange(len(words), dtype=np.uint32)
-            names = list(words)
-            out.add(next(numbers), ids, sizes, squeeze.compress(_planes(number[flat])), [names[i] for i in often.tolist()])
+            out.add(next(numbers), ids, sizes, squeeze.compress(_planes(number[flat])), [names[i] for i in often])
             return out.take()
 
         for key, text in rows_of(batches, "doc_id", "text"):
@@ -105,7 +105,7 @@ def _chunks(docs: DataFrame, pattern: str) -> DataFrame:
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, ids: the token ids of each text, without special tokens."""
-    spark = docs.sparkSession
+    spark = small_batches(docs.sparkSession)
     ranks = spark.sparkContext.broadcast(load_ranks(path))
     chunks = _bucketed(_chunks(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), pattern))
     words = chunks.select("chunk", F.posexplode("words").alias("place", "word")).select("word", (F.col("chunk") * PLACES + F.col("place")).alias("ref"))
