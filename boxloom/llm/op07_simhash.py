@@ -28,7 +28,7 @@ from boxloom.llm.common import rows_of, store
 from boxloom.llm.components import Forest, components
 
 SAMPLE = 8192
-SHARD_POINTS = 30_000
+SHARD_POINTS = 120_000
 LEAF = 384
 
 
