@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from boxloom.llm.common import store
 from boxloom.llm.components import Forest, components
 
-SHARD_VECTORS = 20_000
+SHARD_VECTORS = 64_000
 QUERY_BLOCK = 5_000
 AUDIT_QUERIES = 200
 AUDIT = 0.98
