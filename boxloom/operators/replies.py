@@ -72,15 +72,21 @@ def of_attempt(replies: DataFrame, chosen: DataFrame, keys: list[str]) -> DataFr
 def choose_attempts(stages: list[DataFrame], max_attempts: int = 3) -> DataFrame:
     """sample_id and `attempt`: the first attempt in which every reply of every stage was readable.
 
-    `stages` are tables with sample_id, attempt, ok. A null attempt marks an exhausted sample.
+    `stages` are tables with sample_id, attempt, ok. An attempt counts only with a reply of the first stage; a
+    sample without any such reply has no row. A null attempt marks an exhausted sample.
     """
-    outcomes = [stage.select("sample_id", "attempt", "ok") for stage in stages]
-    every = outcomes[0]
-    for outcome in outcomes[1:]:
-        every = every.unionByName(outcome)
-    whole = every.groupBy("sample_id", "attempt").agg(F.every("ok").alias("ok"))
-    good = F.col("ok") & (F.col("attempt") <= max_attempts)
-    return whole.groupBy("sample_id").agg(F.min(F.when(good, F.col("attempt"))).alias("attempt"))
+    every = None
+    for n, stage in enumerate(stages):
+        outcome = stage.select("sample_id", "attempt", "ok", F.lit(n == 0).alias("first"))
+        every = outcome if every is None else every.unionByName(outcome)
+    whole = every.groupBy("sample_id", "attempt").agg(F.every("ok").alias("ok"), F.bool_or("first").alias("first"))
+    good = F.col("ok") & F.col("first") & (F.col("attempt") <= max_attempts)
+    return (
+        whole.groupBy("sample_id")
+        .agg(F.min(F.when(good, F.col("attempt"))).alias("attempt"), F.bool_or("first").alias("first"))
+        .filter("first")
+        .select("sample_id", "attempt")
+    )
 
 
 def by_position(values: DataFrame, value: str, part_size: int = PART_SIZE) -> DataFrame:

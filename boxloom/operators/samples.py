@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,15 +87,27 @@ def last_write_wins(rows: DataFrame, keys: list[str], order: list[Column]) -> Da
     """Per key the row with the highest order values.
 
     An aggregation, not a window: every task first reduces its own rows to one per key, so a key with a
-    large share of all rows sends one row per task over the network.
+    large share of all rows sends one row per task over the network. Documents in parts (`part_no`) win or lose
+    together: all parts of the winning write stay, parts of other writes go.
     """
+    if "part_no" in rows.columns and "part_no" not in keys:
+        # one small row per key, so a key's parts are joined to it, never gathered
+        written = F.struct(*[column.alias(f"o{i}") for i, column in enumerate(order)])
+        newest = rows.groupBy(*keys).agg(F.max(written).alias("_newest"))
+        same = functools.reduce(lambda a, b: a & b, [F.col(f"_all.{k}").eqNullSafe(F.col(f"_new.{k}")) for k in keys])
+        marked = rows.withColumn("_written", written).alias("_all").join(newest.alias("_new"), same)
+        kept = marked.filter(F.col("_written").eqNullSafe(F.col("_newest"))).select("_all.*").drop("_written")
+        return last_write_wins(kept, [*keys, "part_no"], order)
     values = [name for name in rows.columns if name not in keys]
     newest = F.max_by(F.struct(*values), F.struct(*order))
     return rows.groupBy(*keys).agg(newest.alias("_row")).select(*keys, "_row.*").select(*rows.columns)
 
 
 def duplicate_ids(rows: DataFrame) -> DataFrame:
-    """Sample ids written more than once, with their count."""
+    """Sample ids written more than once, with their count; the parts of one document count once."""
+    if "part_no" in rows.columns:
+        parts = rows.groupBy("sample_id", "part_no").agg(F.count("*").alias("n_rows"))
+        return parts.groupBy("sample_id").agg(F.max("n_rows").alias("n_rows")).filter("n_rows > 1")
     return rows.groupBy("sample_id").agg(F.count("*").alias("n_rows")).filter("n_rows > 1")
 
 

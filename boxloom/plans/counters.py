@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 
 def store_counts(samples: DataFrame) -> DataFrame:
-    """One row: samples, ingested (generated) samples, objects, exportable tasks."""
+    """One row: samples, ingested (generated) samples, objects, exportable tasks. A document in parts is one sample."""
+    first = F.col("part_no") == 0 if "part_no" in samples.columns else F.lit(True)
     return samples.agg(
-        F.count("*").alias("n_samples"),
-        F.count_if(F.col("image_asset.source_type") == "generated").alias("n_ingested"),
+        F.count_if(first).alias("n_samples"),
+        F.count_if(first & (F.col("image_asset.source_type") == "generated")).alias("n_ingested"),
         F.coalesce(F.sum(F.greatest(F.size("objects"), F.lit(0))), F.lit(0)).cast("bigint").alias("n_objects"),
-        F.count_if(F.coalesce(F.col("workflow.workflow_status") != "discarded", F.lit(True))).alias("n_tasks"),
+        F.count_if(first & F.coalesce(F.col("workflow.workflow_status") != "discarded", F.lit(True))).alias("n_tasks"),
     )

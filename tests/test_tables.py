@@ -1,3 +1,4 @@
+import dataclasses
 import json
 
 import pytest
@@ -5,7 +6,7 @@ from pyspark.sql import functions as F
 
 from boxloom.functions.geometry import make_box
 from boxloom.operators import boxes, objects, pixels, ranking, routing, samples
-from boxloom.params import BoxFilter, BoxService, DirectPlan, Run
+from boxloom.params import BoxFilter, BoxService, DirectPlan, ReviewPolicy, Run
 from boxloom.plans.direct import annotate_directly
 from boxloom.plans.generated import generation_tasks
 from boxloom.sources import assets, documents, manifest
@@ -165,16 +166,43 @@ def test_direct_branch(spark):
     table = spark.createDataFrame([(*r, None, None) for r in replies], REPLY_SCHEMA)
     result = annotate_directly(rows, table, PLAN, RUN, classify=False)
     written = {r.sample_id: r for r in result.samples.collect()}
-    assert sorted(written) == ["good", "late", "silent"]
-    assert [o.object_id for o in written["late"].objects] == ["valid"] and written["silent"].objects == []
+    assert sorted(written) == ["good", "late"]
+    assert [o.object_id for o in written["late"].objects] == ["valid"]
     assert written["good"].objects[0].crop.crop_uri == "crops/good_valid.jpg"
     assert written["good"].workflow.workflow_status == "classified" and "pos" not in written["good"].objects[0]
     assert [r.sample_id for r in result.exhausted.collect()] == ["bad"]
+    assert [r.sample_id for r in result.unanswered.collect()] == ["silent"]
+    assert result.unreadable.count() == 0
     assert [r.error for r in result.rejected.collect()] == ["manifest row is missing required field: sample_id"]
     assert result.quarantined.count() == 0
     store = spark.createDataFrame([("bad",), ("other",)], "sample_id string")
     left = samples.replace_samples(store, result.samples.select("sample_id"), result.exhausted)
-    assert sorted(r.sample_id for r in left.collect()) == ["good", "late", "other", "silent"]
+    assert sorted(r.sample_id for r in left.collect()) == ["good", "late", "other"]
+
+
+def test_direct_outcomes_are_a_partition(spark):
+    rows = manifest_rows(spark, "a", "b", "c").withColumn("task_mode", F.when(F.col("sample_id") == "c", "generation").otherwise(""))
+    said = [("a", 2, REPLY), ("c", 1, "{"), ("stranger", 1, "{")]
+    table = spark.createDataFrame([(*r, None, None) for r in said], REPLY_SCHEMA)
+    verdict = '{"contains_person": true, "is_complete_visible_person": true}'
+    reviews = spark.createDataFrame([("a", 1, 1, verdict), ("b", 1, 1, verdict)], "sample_id string, attempt int, pos int, raw_text string")
+    plan = dataclasses.replace(PLAN, review=ReviewPolicy(drop_failed=False))
+    result = annotate_directly(rows, table, plan, RUN, reviews=reviews, classify=False)
+    # attempt 1 of "a" has a review only, so attempt 2 is chosen
+    assert [(r.sample_id, len(r.objects)) for r in result.samples.collect()] == [("a", 1)]
+    assert [r.sample_id for r in result.unanswered.collect()] == ["b"]
+    assert result.exhausted.count() == 0 and result.rejected.count() == 0 and result.quarantined.count() == 0
+    with pytest.raises(ValueError, match="needs answers"):
+        annotate_directly(rows, table, plan, RUN)
+
+
+def test_parts_win_and_count_together(spark):
+    rows = [("a", 0, 1), ("a", 1, 1), ("a", 2, 1), ("a", 0, 2), ("a", 1, 2), ("b", 0, 1), (None, 0, 1)]
+    table = spark.createDataFrame(rows, "sample_id string, part_no int, seq int")
+    left = samples.last_write_wins(table, ["sample_id"], [F.col("seq")])
+    assert sorted(map(tuple, left.collect()), key=str) == sorted([("a", 0, 2), ("a", 1, 2), ("b", 0, 1), (None, 0, 1)], key=str)
+    assert samples.duplicate_ids(left).count() == 0
+    assert [tuple(r) for r in samples.duplicate_ids(table).collect()] == [("a", 2)]
 
 
 def test_sizes_and_crops_come_from_pixels(spark, tmp_path, write_png):
