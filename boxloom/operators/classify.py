@@ -21,6 +21,7 @@ from boxloom.functions.columns import (
 from boxloom.functions.geometry import box_height, box_width
 from boxloom.functions.text import clean_note, cut_before, first_object_or_json
 from boxloom.operators.boxes import crop_problem
+from boxloom.operators.objects import PART_SIZE
 from boxloom.operators.replies import align, at_position
 from boxloom.operators.samples import advance
 from boxloom.params import Classifier, Run
@@ -236,14 +237,19 @@ def is_skipped(skip_source_types: tuple[str, ...]) -> Column:
 
 
 def classify_with_answers(
-    samples: DataFrame, answers: DataFrame, classifier: Classifier, skip_source_types: tuple[str, ...], run: Run
+    samples: DataFrame,
+    answers: DataFrame,
+    classifier: Classifier,
+    skip_source_types: tuple[str, ...],
+    run: Run,
+    part_size: int = PART_SIZE,
 ) -> DataFrame:
     """Apply normalized answers (sample_id, pos, answers) to the objects of samples not skipped.
 
     Order of outcomes per object: no crop, unusable crop, answered. Objects without an answer row keep
     their classification.
     """
-    joined = align(samples, answers, "answers")
+    joined = align(samples, answers, "answers", part_size)
 
     def outcome(obj: Column) -> Column:
         crop = obj.getField("crop")

@@ -434,7 +434,11 @@ def violation_rows(validated: DataFrame, *keys: str) -> DataFrame:
 
 def split_valid(samples: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Valid samples, and the quarantined ones with their violations."""
-    checked = validate(samples)
+    return split_checked(validate(samples))
+
+
+def split_checked(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The same for rows that `validate` has seen; store them first, then neither output validates again."""
     good = F.col("first_violation").isNull()
     return checked.filter(good).drop("violations", "first_violation"), checked.filter(~good)
 

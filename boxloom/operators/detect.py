@@ -19,7 +19,7 @@ from boxloom.functions.columns import (
     truthy,
 )
 from boxloom.functions.geometry import convert_value
-from boxloom.operators.objects import OBJECTS, generated_id, make_object, object_id, split_parts
+from boxloom.operators.objects import OBJECTS, PART_SIZE, generated_id, make_object, object_id, split_parts
 from boxloom.params import BoxService, RectangleService
 
 _RESULT = "struct<id:variant,type:string,score:variant,value:variant>"
@@ -264,7 +264,12 @@ def detected_objects(services: dict[str, RectangleService | BoxService]) -> Colu
     return F.coalesce(branches, empty) if branches is not None else empty
 
 
-def detect(samples: DataFrame, payloads: DataFrame, services: dict[str, RectangleService | BoxService]) -> DataFrame:
+def detect(
+    samples: DataFrame,
+    payloads: DataFrame,
+    services: dict[str, RectangleService | BoxService],
+    part_size: int = PART_SIZE,
+) -> DataFrame:
     """Fill `objects` of samples (with task_key) from payloads (sample_id, payload, request sizes).
 
     A left join: an image without a reply keeps an empty list. `n_bad` counts unreadable results. Rows come
@@ -279,4 +284,4 @@ def detect(samples: DataFrame, payloads: DataFrame, services: dict[str, Rectangl
         .withColumn("n_bad", F.coalesce("_found.n_bad", F.lit(0)))
         .drop("_found", "payload", "request_width", "request_height")
     )
-    return split_parts(filled)
+    return split_parts(filled, part_size)

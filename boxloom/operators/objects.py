@@ -1,9 +1,10 @@
 """The object element: construction, ordinals, ids, and nesting objects under samples.
 
 A working sample row is (sample_id, part_no, image_asset, objects, workflow, ...). Objects carry `pos`,
-their 0-based detection ordinal, until `to_documents` strips it. A row holds at most `part_size` objects:
-an image with more is spread over several rows with the same sample_id and increasing part_no, so no
-group, array or task grows with one hot image. Ordinary images are the single part 0.
+their 0-based detection ordinal, until `to_documents` strips it. A working row holds at most `part_size`
+objects: an image with more is spread over several rows with the same sample_id and increasing part_no, so no
+join or group grows with one hot image. Ordinary images are the single part 0. Parts end with the work:
+`whole_samples` makes one row of them, which is what documents, tasks, counters and the store are made from.
 """
 
 from __future__ import annotations
@@ -104,16 +105,34 @@ def split_parts(samples: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
     """Cut rows with very many objects into the parts their positions belong to.
 
     Narrow: one row in, nearly always the same row out. An object's part follows from its `pos` alone, so
-    filters before or after do not move it.
+    filters before or after do not move it. `n_parts` tells how many rows the sample has.
     """
-    kept = [name for name in samples.columns if name not in ("objects", "part_no")]
+    kept = [name for name in samples.columns if name not in ("objects", "part_no", "n_parts")]
     parts = F.array_distinct(F.transform("objects", lambda o: part_of(o["pos"], part_size)))
     some = F.when(F.size("objects") > 0, parts).otherwise(F.array(F.lit(0)))
     split = samples.withColumn("_parts", some).select(
-        *kept, "objects", F.size("_parts").alias("_n"), F.explode("_parts").alias("part_no")
+        *kept, "objects", F.size("_parts").alias("n_parts"), F.explode("_parts").alias("part_no")
     )
     own = F.filter("objects", lambda o: part_of(o["pos"], part_size) == F.col("part_no"))
-    return split.withColumn("objects", F.when(F.col("_n") == 1, F.col("objects")).otherwise(own)).drop("_n")
+    return split.withColumn("objects", F.when(F.col("n_parts") == 1, F.col("objects")).otherwise(own))
+
+
+def whole_samples(samples: DataFrame) -> DataFrame:
+    """One row per sample: the objects of its parts in order, everything else from its first part.
+
+    One shuffle by sample. Where most samples are single (`n_parts` 1), pass only the others.
+    """
+    values = [name for name in samples.columns if name not in ("sample_id", "part_no", "n_parts", "objects")]
+    parts = F.array_sort(
+        F.collect_list(F.struct("part_no", "objects")), lambda a, b: a.getField("part_no") - b.getField("part_no")
+    )
+    joined = samples.groupBy("sample_id").agg(
+        F.min_by(F.struct(*values), "part_no").alias("_first"),
+        F.flatten(F.transform(parts, lambda p: p.getField("objects"))).alias("objects"),
+    )
+    return joined.select("sample_id", "objects", "_first.*").select(
+        [name for name in samples.columns if name not in ("part_no", "n_parts")]
+    )
 
 
 def nest_objects(

@@ -62,11 +62,18 @@ def readable(kind: str) -> Column:
 def of_attempt(replies: DataFrame, chosen: DataFrame, keys: list[str]) -> DataFrame:
     """One reply per key from each sample's chosen attempt (sample_id, attempt), as raw text.
 
-    `keys` contain sample_id. Repeated replies are reduced inside each task before anything is joined.
+    `keys` contain sample_id. Replies of other attempts leave first; of a repeated reply the smallest row stays
+    (`repeated_replies` counts them). Grouping by the join keys too needs no second shuffle.
     """
     values = [name for name in replies.columns if name not in (*keys, "attempt", "raw_text")]
-    single = replies.groupBy(*keys, "attempt").agg(F.min(F.struct("raw_text", *values)).alias("_reply"))
-    return single.join(chosen, ["sample_id", "attempt"]).select(*keys, "_reply.*")
+    wanted = replies.join(chosen.select("sample_id", "attempt"), ["sample_id", "attempt"], "left_semi")
+    single = wanted.groupBy("sample_id", "attempt", *[key for key in keys if key != "sample_id"])
+    return single.agg(F.min(F.struct("raw_text", *values)).alias("_reply")).select(*keys, "_reply.*")
+
+
+def repeated_replies(replies: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys and attempts that were answered more than once, with the number of replies."""
+    return replies.groupBy(*keys, "attempt").agg(F.count("*").alias("n_replies")).filter("n_replies > 1")
 
 
 def choose_attempts(stages: list[DataFrame], max_attempts: int = 3) -> DataFrame:

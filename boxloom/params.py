@@ -126,3 +126,5 @@ class DirectPlan:
     skip_source_types: tuple[str, ...] = ("generated",)
     max_attempts: int = 3
     on_parse_error: str = "fail"
+    #: objects per working row; results are the same for every value
+    part_size: int = 10_000

@@ -5,10 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from boxloom.operators import contract, routing
 from boxloom.params import Run
+from boxloom.session import stored
 
 
 @dataclass(frozen=True)
@@ -27,8 +27,12 @@ def generation_tasks(manifest: DataFrame, existing: DataFrame | None = None, lim
 
 
 def ingest_generated(documents: DataFrame, run: Run, raw: str = "raw_json") -> GeneratedResult:
-    """Fill defaults, keep generated samples, validate. Nothing aborts: the rest is returned with reasons."""
-    normalized = contract.normalize_documents(documents, run, raw).withColumn("part_no", F.lit(0))
-    generated, rejected = contract.check_generated(normalized)
-    valid, quarantined = contract.split_valid(generated)
+    """Fill defaults, keep generated samples, validate. Nothing aborts: the rest is returned with reasons.
+
+    The checked documents are stored once; every output is a selection from them.
+    """
+    checked = stored(contract.validate(contract.normalize_documents(documents, run, raw)), "generated")
+    generated, rejected = contract.check_generated(checked)
+    valid, quarantined = contract.split_checked(generated)
+    rejected = rejected.drop("violations", "first_violation")
     return GeneratedResult(valid, quarantined, rejected)

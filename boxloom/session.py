@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_SETTINGS = {
     # JSON decoders used by annotation tools keep the last of two equal keys.
@@ -41,6 +41,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """Write rows into the shared folder and read them back, so that several outputs compute them once."""
+    path = shared_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path for an intermediate table inside the shared folder."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

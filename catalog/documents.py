@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boxloom import shared_path
-from boxloom.operators import contract, samples
+from boxloom.operators import contract, objects, samples
 from boxloom.params import QcPolicy, Run
 from boxloom.plans.generated import ingest_generated
 from boxloom.sources import documents as files
+from catalog import scenes as sc
 from catalog.inputs import Tables, with_inputs
 from catalog.registry import query
 
@@ -95,6 +96,21 @@ VIOLATIONS = f"""SELECT * FROM (
     'objects[0].crop.crop_uri must be a real crop path, not pending' FROM orders WHERE o_orderkey % 29 = 0)"""
 
 
+@query(
+    "c3_paths_in_parts",
+    f"""SELECT sample_id, concat('objects[', place, '].geometry_source') AS path FROM (SELECT *,
+    row_number() OVER (PARTITION BY sample_id ORDER BY p) - 1 AS place FROM ({sc.KEPT_SQL})) WHERE object_type = 'person'""",
+)
+def c3_in_parts(t: Tables) -> DataFrame:
+    """Paths count through the parts of an image."""
+    rows = objects.map_objects(
+        sc.classified(t, part_size=2),
+        lambda o: o.withField("geometry_source", F.when(o["object_type"] == "person", F.lit("elsewhere")).otherwise(o["geometry_source"])),
+    )
+    checked = contract.validate(objects.to_documents(objects.whole_samples(rows)))
+    return contract.violation_rows(checked, "sample_id").select("sample_id", "path")
+
+
 @query("c3_violations", VIOLATIONS)
 def c3(t: Tables) -> DataFrame:
     rows = contract.violation_rows(contract.validate(normalized(t)), "sample_no")

@@ -83,16 +83,25 @@ def e2(t: Tables) -> DataFrame:
     )
 
 
-@query(
-    "e3_tasks",
-    f"""SELECT s.sample_id, replace(s.image_uri, chr(92), '/') AS image, '0.1.0' AS model_version,
+TASKS = f"""SELECT s.sample_id, replace(s.image_uri, chr(92), '/') AS image, '0.1.0' AS model_version,
     CAST(count(e.p) * CASE WHEN s.source_type = 'generated' THEN 1 ELSE 13 END AS INT) AS n_results,
     coalesce(string_agg(e.object_id, ',' ORDER BY e.p), '') AS regions
     FROM ({sc.SCENE_SQL}) s LEFT JOIN ({EXPORTED}) e ON s.sample_id = e.sample_id WHERE s.k % 31 > 0
-    GROUP BY s.sample_id, s.image_uri, s.source_type""",
-)
+    GROUP BY s.sample_id, s.image_uri, s.source_type"""
+
+
+@query("e3_tasks", TASKS)
 def e3(t: Tables) -> DataFrame:
-    rows = export.export_tasks(sc.classified(t)).select("data", F.get("predictions", F.lit(0)).alias("p"))
+    return task_rows(sc.classified(t))
+
+
+@query("e3_tasks_in_parts", TASKS)
+def e3_in_parts(t: Tables) -> DataFrame:
+    return task_rows(sc.in_parts(t))
+
+
+def task_rows(samples: DataFrame) -> DataFrame:
+    rows = export.export_tasks(samples).select("data", F.get("predictions", F.lit(0)).alias("p"))
     rectangles = F.filter("p.result", lambda r: F.try_variant_get(r, "$.type", "string") == "rectanglelabels")
     regions = F.transform(rectangles, lambda r: F.try_variant_get(r, "$.id", "string"))
     return rows.select(
@@ -106,13 +115,23 @@ def e3(t: Tables) -> DataFrame:
 
 @query(
     "e4_export_run",
-    f"SELECT sample_id, replace(image_uri, chr(92), '/') AS image FROM ({sc.SCENE_SQL}) WHERE k % 31 > 0",
+    f"""SELECT s.sample_id, replace(s.image_uri, chr(92), '/') AS image,
+    CAST(count(e.p) * CASE WHEN s.source_type = 'generated' THEN 1 ELSE 13 END AS INT) AS n_results,
+    CAST(coalesce(sum(e.x2 - e.x1), 0) AS BIGINT) AS box_widths
+    FROM ({sc.SCENE_SQL}) s LEFT JOIN ({EXPORTED}) e ON s.sample_id = e.sample_id WHERE s.k % 31 > 0
+    GROUP BY s.sample_id, s.image_uri, s.source_type""",
 )
 def e4(t: Tables) -> DataFrame:
     """Tasks written as sorted JSON lines (IO10) and read back."""
     path = shared_path(t.spark, "export")
     files.write_json_lines(export.ordered_tasks(export.export_tasks(sc.classified(t))), path)
-    return t.spark.read.schema("data struct<image:string,sample_id:string>").json(path).select("data.sample_id", "data.image")
+    box = "meta struct<box_xyxy:struct<x1:bigint,x2:bigint>>"
+    kind = f"data struct<image:string,sample_id:string>, predictions array<struct<result:array<struct<type:string,{box.replace(' ', ':', 1)}>>>>"
+    rows = t.spark.read.schema(kind).json(path).select("data.*", F.get("predictions", F.lit(0))["result"].alias("r"))
+    rectangles = F.filter("r", lambda o: o["type"] == "rectanglelabels")
+    widths = F.transform(rectangles, lambda o: o["meta"]["box_xyxy"]["x2"] - o["meta"]["box_xyxy"]["x1"])
+    total = F.aggregate(widths, F.lit(0).cast("bigint"), lambda acc, v: acc + v)
+    return rows.select("sample_id", "image", F.size("r").alias("n_results"), total.alias("box_widths"))
 
 
 @query(
@@ -155,11 +174,16 @@ def j5(t: Tables) -> DataFrame:
     return rows.select("p_partkey", export.display_label(F.col("kind")).alias("label"))
 
 
-@query(
-    "a5_store_counts",
-    f"""SELECT count(*) AS n_samples, count(*) FILTER (source_type = 'generated') AS n_ingested,
-    (SELECT count(*) FROM ({sc.KEPT_SQL})) AS n_objects, count(*) FILTER (k % 31 > 0) AS n_tasks FROM ({sc.SCENE_SQL})""",
-)
+COUNTS = f"""SELECT count(*) AS n_samples, count(*) FILTER (source_type = 'generated') AS n_ingested,
+    (SELECT count(*) FROM ({sc.KEPT_SQL})) AS n_objects, count(*) FILTER (k % 31 > 0) AS n_tasks FROM ({sc.SCENE_SQL})"""
+
+
+@query("a5_store_counts_in_parts", COUNTS)
+def a5_in_parts(t: Tables) -> DataFrame:
+    return store_counts(sc.in_parts(t))
+
+
+@query("a5_store_counts", COUNTS)
 def a5(t: Tables) -> DataFrame:
     return store_counts(sc.classified(t))
 
@@ -205,6 +229,17 @@ def a4(t: Tables) -> DataFrame:
     return export.label_vocabulary(labels(t))
 
 
+@query(
+    "a4_label_places_in_parts",
+    f"""SELECT sample_id AS document, CAST(dense_rank() OVER (PARTITION BY sample_id ORDER BY p) - 1 AS INT) AS object_pos,
+    label_key, choice AS label_value FROM ({CHOICES})""",
+)
+def a4_places(t: Tables) -> DataFrame:
+    """First-seen order: objects of later parts count on from those of earlier ones."""
+    rows = export.exploded_labels(sc.in_parts(t).filter(export.is_exportable()))
+    return rows.select("document", "object_pos", "label_key", "label_value")
+
+
 @query(
     "a4_scene_labels",
     f"SELECT sample_id AS document, label_key, choice AS label_value, count(*) AS n FROM ({CHOICES}) GROUP BY ALL",

@@ -13,6 +13,7 @@ from boxloom.functions.columns import bind
 from boxloom.operators import boxes, detect, replies, samples
 from boxloom.operators.classify import classify_with_answers, read_answers
 from boxloom.operators.review import verdict
+from boxloom.operators.objects import PART_SIZE, whole_samples
 from boxloom.params import BoxFilter, Classifier, RectangleService, ReviewPolicy, Run
 from catalog.geometry import percent_fit
 from catalog.inputs import Tables
@@ -142,27 +143,32 @@ def answers(t: Tables) -> DataFrame:
     return read.select("sample_id", "pos", "answers")
 
 
-def detected(t: Tables) -> DataFrame:
+def detected(t: Tables, part_size: int = PART_SIZE) -> DataFrame:
     """Samples with the objects their detection replies name."""
     rows = scenes(t).withColumn("task_key", F.lit("ppe_person"))
     base = samples.base_samples(rows, RUN, keep=("task_key", "k"))
     payloads = replies.parse_replies(detection_replies(t), "detection")
-    return detect.detect(base, payloads, SERVICES)
+    return detect.detect(base, payloads, SERVICES, part_size)
 
 
-def cropped(t: Tables) -> DataFrame:
+def cropped(t: Tables, part_size: int = PART_SIZE) -> DataFrame:
     """Detected samples after the box filter, with crop metadata."""
-    kept = boxes.filter_boxes(detected(t), RULES).drop("task_key", "n_bad")
+    kept = boxes.filter_boxes(detected(t, part_size), RULES).drop("task_key", "n_bad")
     return samples.advance(boxes.attach_crops(kept, "crops", RATIO), "cropped", RUN.now)
 
 
-def classified(t: Tables) -> DataFrame:
+def classified(t: Tables, part_size: int = PART_SIZE) -> DataFrame:
     """Cropped scenes with answers applied, every 31st sample discarded afterwards."""
-    done = classify_with_answers(cropped(t), answers(t), CLASSIFIER, ("generated",), RUN)
+    done = classify_with_answers(cropped(t, part_size), answers(t), CLASSIFIER, ("generated",), RUN, part_size)
     discarded = F.col("workflow").withField("workflow_status", F.lit("discarded"))
     return done.withColumn("workflow", F.when(F.col("k") % 31 == 0, discarded).otherwise(F.col("workflow"))).drop("k")
 
 
+def in_parts(t: Tables) -> DataFrame:
+    """The classified scenes, worked on in parts of two objects and joined again."""
+    return whole_samples(classified(t, part_size=2))
+
+
 def object_rows(rows: DataFrame, *more: str) -> DataFrame:
     return rows.select("sample_id", *more, F.explode("objects").alias("o"))
 

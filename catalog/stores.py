@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from boxloom import shared_path
 from boxloom.operators import samples
-from boxloom.operators.objects import to_documents
+from boxloom.operators.objects import to_documents, whole_samples
 from boxloom.sources import documents as files
 from catalog import scenes as sc
 from catalog.inputs import Tables
@@ -33,6 +33,19 @@ def w3_duplicates(t: Tables) -> DataFrame:
     return samples.duplicate_ids(t.derive("events", WRITES))
 
 
+@query(
+    "w3_last_write_in_parts",
+    f"""SELECT s.sample_id, CAST(s.k % 2 AS INT) AS run_seq, CAST(count(r.p) AS INT) AS n_objects FROM ({sc.SCENE_SQL}) s LEFT JOIN ({sc.KEPT_SQL}) r
+    ON s.sample_id = r.sample_id AND (s.k % 2 = 0 OR r.p < 2) GROUP BY s.sample_id, s.k""",
+)
+def w3_in_parts(t: Tables) -> DataFrame:
+    """Samples with an odd key are written again without their later part; nothing of it survives."""
+    first = sc.classified(t, part_size=2).withColumn("run_seq", F.lit(0)).withColumn("k", F.substring("sample_id", 8, 20).cast("bigint"))
+    again = first.filter("k % 2 = 1 AND part_no = 0").withColumn("run_seq", F.lit(1))
+    kept = samples.last_write_wins(first.unionByName(again), ["sample_id"], [F.col("run_seq")])
+    return whole_samples(kept).select("sample_id", "run_seq", F.size("objects").alias("n_objects"))
+
+
 # generated samples: one per order with key and status; direct samples: one per line item's order
 GEN = {"sample_id": "concat('sample_', o_orderkey)", "status": "concat('generated ', o_orderstatus)"}
 DIRECT = {"sample_id": "concat('sample_', l_orderkey)", "status": "concat('direct ', l_linestatus)"}

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from boxloom.functions.geometry import make_box
-from boxloom.operators import boxes, objects, pixels, ranking, routing, samples
+from boxloom.operators import boxes, contract, export, objects, pixels, ranking, routing, samples
 from boxloom.params import BoxFilter, BoxService, DirectPlan, ReviewPolicy, Run
 from boxloom.plans.direct import annotate_directly
 from boxloom.plans.generated import generation_tasks
@@ -196,6 +196,41 @@ def test_direct_outcomes_are_a_partition(spark):
         annotate_directly(rows, table, plan, RUN)
 
 
+def test_direct_result_is_the_same_for_any_part_size(spark):
+    """One image, one document and one task, with the same objects, order and notes."""
+    boxes_said = [{"object_id": f"o{i}", "label": "person", "bbox": [i, 1, i + 10, 20], "score": 0.9} for i in range(7)]
+    boxes_said.insert(2, {"label": "person", "bbox": "none"})
+    said = [("a", 1, json.dumps({"boxes": boxes_said})), ("b", 1, json.dumps({"boxes": boxes_said[:4]}))]
+    table = spark.createDataFrame([(*r, None, None) for r in said], REPLY_SCHEMA)
+    reviews = spark.createDataFrame([("a", 1, 0, '{"contains_person": false}')], "sample_id string, attempt int, pos int, raw_text string")
+    rows = manifest_rows(spark, "a", "b")
+    outcomes = []
+    for part_size in (2, 10_000):
+        plan = dataclasses.replace(PLAN, part_size=part_size, review=ReviewPolicy(drop_failed=True))
+        result = annotate_directly(rows, table, plan, RUN, reviews=reviews, classify=False)
+        documents = {r.sample_id: [o.object_id for o in r.objects] for r in result.samples.collect()}
+        tasks = export.export_tasks(result.samples).count()
+        notes = [sorted(map(tuple, getattr(result, name).collect())) for name in ("unreadable", "review_drops", "unmatched", "dropped_boxes", "repeated")]
+        outcomes.append((documents, tasks, notes))
+    assert outcomes[0] == outcomes[1]
+    assert outcomes[0][0]["a"] == [f"o{i}" for i in range(1, 7)] and outcomes[0][1] == 2
+    assert outcomes[0][2][0] == [("a", 1), ("b", 1)] and outcomes[0][2][1] == [("a", 1)]
+
+
+def test_violations_count_through_parts(spark):
+    flat = spark.range(5).selectExpr("'s' AS sample_id", "CAST(id AS INT) AS pos", "concat('t', id) AS kind")
+
+    def build(row):
+        source = F.when(row["pos"] == 3, F.lit("elsewhere")).otherwise(F.lit("detector"))
+        return objects.make_object(row["pos"], row["kind"], row["kind"], make_box(*map(F.lit, (0, 0, 9, 9))), source)
+
+    base = samples.base_samples(manifest_rows(spark, "s"), RUN)
+    for part_size in (2, 100):
+        whole = objects.whole_samples(objects.nest_objects(base, flat, build, part_size))
+        found = contract.violation_rows(contract.validate(objects.to_documents(boxes.attach_crops(whole, "crops", 0.0))), "sample_id")
+        assert [(r.sample_id, r.path) for r in found.collect()] == [("s", "objects[3].geometry_source")]
+
+
 def test_parts_win_and_count_together(spark):
     rows = [("a", 0, 1), ("a", 1, 1), ("a", 2, 1), ("a", 0, 2), ("a", 1, 2), ("b", 0, 1), (None, 0, 1)]
     table = spark.createDataFrame(rows, "sample_id string, part_no int, seq int")
