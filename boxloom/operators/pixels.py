@@ -13,8 +13,10 @@ from boxloom.operators.boxes import attach_crops
 if TYPE_CHECKING:
     import pandas as pd
 
+UNREADABLE_IMAGE, EMPTY_CROP = "image cannot be read", "box leaves no pixels"
 CROP_PIXELS = (
-    "sample_id string, object_id string, origin string, height int, width int, nChannels int, mode int, data binary"
+    "sample_id string, object_id string, origin string, height int, width int, nChannels int, mode int, data binary, "
+    "error string"
 )
 
 
@@ -28,12 +30,13 @@ def crop_pixels(samples: DataFrame, images: DataFrame, crop_dir: str, ratio: flo
     """One image row (Spark's image schema) per object, cut at the box expanded by `ratio`.
 
     Crops are clipped to the decoded size, not the manifest's. Pixels are joined last and once per
-    sample row; the requests travel as one array of small structs.
+    sample row; the requests travel as one array of small structs. An object whose image is missing or cannot
+    be decoded, or whose box leaves no pixels, comes back without pixels and with `error`.
     """
     narrow = samples.select(
         "sample_id", F.col("image_asset.image_uri").alias("image_uri"), "objects"
     ).filter(F.size("objects") > 0)
-    joined = narrow.join(images, "image_uri")
+    joined = narrow.join(images, "image_uri", "left")
     cropped = attach_crops(joined, crop_dir, ratio, F.col("image.width"), F.col("image.height"))
     requests = cropped.select(
         "sample_id",
@@ -53,19 +56,31 @@ def crop_pixels(samples: DataFrame, images: DataFrame, crop_dir: str, ratio: flo
 
         chunk = 256
         names = [part.split()[0] for part in CROP_PIXELS.split(", ")]
+
+        def frame(crops: list[tuple]) -> pd.DataFrame:
+            return pd.DataFrame(crops, columns=names, dtype=object)
+
         for batch in batches:
             for row in batch.itertuples(index=False):
-                pixels = np.frombuffer(row.data, np.uint8).reshape(row.height, row.width, row.channels)
+                pixels = None
+                if row.data is not None:
+                    shape = int(row.height), int(row.width), int(row.channels)
+                    pixels = np.frombuffer(row.data, np.uint8).reshape(shape)
                 crops = []
                 for i in range(len(row.uris)):
-                    part = pixels[row.y1[i] : row.y2[i], row.x1[i] : row.x2[i]]
-                    crops.append(
-                        (row.sample_id, row.object_ids[i], row.uris[i], *part.shape, row.mode, part.tobytes())
-                    )
+                    place = row.sample_id, row.object_ids[i], row.uris[i]
+                    if pixels is None:
+                        crops.append((*place, *[None] * 5, UNREADABLE_IMAGE))
+                    else:
+                        part = pixels[row.y1[i] : row.y2[i], row.x1[i] : row.x2[i]]
+                        if part.size:
+                            crops.append((*place, *part.shape, int(row.mode), part.tobytes(), None))
+                        else:
+                            crops.append((*place, *[None] * 5, EMPTY_CROP))
                     if len(crops) == chunk:
-                        yield pd.DataFrame(crops, columns=names)
+                        yield frame(crops)
                         crops = []
                 if crops:
-                    yield pd.DataFrame(crops, columns=names)
+                    yield frame(crops)
 
     return requests.mapInPandas(cut, CROP_PIXELS)

@@ -81,8 +81,18 @@ def frame_count(total_frames: Column, stride: int, max_frames: int | None = None
     return F.when(total_frames <= 0, F.lit(0)).otherwise(kept).cast("bigint")
 
 
+def bad_videos(videos: DataFrame) -> DataFrame:
+    """Videos that `sample_frames` cannot sample, with `error`: the frame count is missing or not positive."""
+    total = F.col("total_frames").cast("bigint")
+    error = F.when(total.isNull(), F.lit("frame count is unknown")).when(total <= 0, F.lit("video has no frames"))
+    return videos.withColumn("error", error).filter("error IS NOT NULL")
+
+
 def sample_frames(videos: DataFrame, stride: int = 30, max_frames: int | None = None) -> DataFrame:
-    """One row per kept frame (`frame_no` 0, stride, 2*stride, ...) of videos with `total_frames`."""
+    """One row per kept frame (`frame_no` 0, stride, 2*stride, ...) of videos with `total_frames`.
+
+    Videos without a positive count have none; `bad_videos` reports them.
+    """
     _check_stride(stride)
     total = F.col("total_frames").cast("bigint")
     kept = frame_count(total, stride, max_frames)

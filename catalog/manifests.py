@@ -99,6 +99,16 @@ def io4_count(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "io4_bad_videos",
+    """SELECT p_partkey AS video_id, CASE WHEN p_size % 5 = 0 THEN 'frame count is unknown' ELSE 'video has no frames' END AS error
+    FROM part WHERE p_size % 5 = 0 OR p_size % 7 = 0""",
+)
+def io4_bad(t: Tables) -> DataFrame:
+    counts = "CASE WHEN p_size % 5 = 0 THEN NULL WHEN p_size % 7 = 0 THEN 0 ELSE p_size END"
+    return assets.bad_videos(t.derive("part", {"video_id": "p_partkey", "total_frames": counts})).select("video_id", "error")
+
+
 @query("io4_frames", f"SELECT video_id, unnest(range(0, total_frames, 30)) AS frame_no FROM ({VIDEO_SQL})")
 def io4_frames(t: Tables) -> DataFrame:
     return assets.sample_frames(videos(t), 30).select("video_id", "frame_no")

@@ -250,5 +250,9 @@ def test_sizes_and_crops_come_from_pixels(spark, tmp_path, write_png):
     assert (sample.image_asset.width, sample.image_asset.height) == (123, 95)
     cut = pixels.crop_pixels(result.samples, pixels.read_images(spark, str(tmp_path)), "crops", 0.0).collect()
     assert [(c.origin, c.width, c.height, c.nChannels) for c in cut] == [("crops/s_valid.jpg", 30, 60, 3)]
+    away = result.samples.withColumn("image_asset", F.col("image_asset").withField("image_uri", F.lit("gone.png")))
+    both = result.samples.unionByName(away.withColumn("sample_id", F.lit("t")))
+    missed = pixels.crop_pixels(both, pixels.read_images(spark, str(tmp_path)), "crops", 0.0).collect()
+    assert sorted((c.sample_id, c.width, c.error) for c in missed) == [("s", 30, None), ("t", None, pixels.UNREADABLE_IMAGE)]
     # Spark keeps channels as blue, green, red
     assert bytes(cut[0].data[:6]) == bytes([7, 10, 10, 7, 10, 11])
