@@ -443,6 +443,16 @@ def split_checked(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     return checked.filter(good).drop("violations", "first_violation"), checked.filter(~good)
 
 
+class ContractError(ValueError):
+    """A strict run met a document that may not be written."""
+
+
+def require_none(rows: DataFrame, reason: str) -> None:
+    """Raise with the first of `rows` (sample_id and `reason`), if there is any."""
+    for row in rows.select("sample_id", reason).take(1):
+        raise ContractError(f"{row[0]}: {row[1]}")
+
+
 def validation_report(validated: DataFrame, document: str) -> DataFrame:
     """Per document `ok` and `message`."""
     bad_json = F.when(~F.col("is_object"), F.lit("sample must be an object")) if "is_object" in validated.columns else null("string")

@@ -10,6 +10,7 @@ from boxloom.functions.columns import let, literal_map, nonblank
 from boxloom.functions.geometry import percent_rect
 from boxloom.functions.text import control_name, forward_slashes, xml_escape
 from boxloom.operators.ranking import numbered
+from boxloom.session import stored
 
 
 def is_exportable() -> Column:
@@ -133,7 +134,7 @@ def mark_exported(samples: DataFrame, export_uri: str, now: str) -> DataFrame:
 def rectangle_labels(samples: DataFrame) -> DataFrame:
     """Distinct display labels of all objects; a single default label when there are no objects."""
     found = samples.select(F.explode("objects.object_type").alias("object_type")).distinct()
-    labels = found.select(display_label(F.col("object_type")).alias("label")).distinct()
+    labels = stored(found.select(display_label(F.col("object_type")).alias("label")).distinct(), "rectangles")
     default = labels.agg(F.count("*").alias("n")).filter("n = 0")
     return labels.unionByName(default.select(F.lit(vocab.DEFAULT_RECTANGLE_LABEL).alias("label")))
 
@@ -161,7 +162,8 @@ def label_vocabulary(labels: DataFrame) -> DataFrame:
     """
     spark = labels.sparkSession
     first_seen = F.min(F.struct("document", "object_pos", "label_pos"))
-    seen = labels.groupBy("label_key", "label_value").agg(first_seen.alias("first_seen"))
+    # the corpus is read once; what is left has one row per distinct label
+    seen = stored(labels.groupBy("label_key", "label_value").agg(first_seen.alias("first_seen")), "labels")
 
     shipped = [
         (key, k, n, value)

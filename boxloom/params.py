@@ -126,5 +126,7 @@ class DirectPlan:
     skip_source_types: tuple[str, ...] = ("generated",)
     max_attempts: int = 3
     on_parse_error: str = "fail"
+    #: raise on the first document that breaks the contract instead of returning it as quarantined
+    strict: bool = False
     #: objects per working row; results are the same for every value
     part_size: int = 10_000

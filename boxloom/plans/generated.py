@@ -26,13 +26,19 @@ def generation_tasks(manifest: DataFrame, existing: DataFrame | None = None, lim
     return routing.first_tasks(tasks, limit)
 
 
-def ingest_generated(documents: DataFrame, run: Run, raw: str = "raw_json") -> GeneratedResult:
+def ingest_generated(
+    documents: DataFrame, run: Run, raw: str = "raw_json", strict: bool = False
+) -> GeneratedResult:
     """Fill defaults, keep generated samples, validate. Nothing aborts: the rest is returned with reasons.
 
-    The checked documents are stored once; every output is a selection from them.
+    The checked documents are stored once; every output is a selection from them. With `strict` the first foreign
+    source type or contract violation raises.
     """
     checked = stored(contract.validate(contract.normalize_documents(documents, run, raw)), "generated")
     generated, rejected = contract.check_generated(checked)
     valid, quarantined = contract.split_checked(generated)
     rejected = rejected.drop("violations", "first_violation")
+    if strict:
+        contract.require_none(rejected, "error")
+        contract.require_none(quarantined, "first_violation")
     return GeneratedResult(valid, quarantined, rejected)

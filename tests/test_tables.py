@@ -8,7 +8,7 @@ from boxloom.functions.geometry import make_box
 from boxloom.operators import boxes, contract, export, objects, pixels, ranking, routing, samples
 from boxloom.params import BoxFilter, BoxService, DirectPlan, ReviewPolicy, Run
 from boxloom.plans.direct import annotate_directly
-from boxloom.plans.generated import generation_tasks
+from boxloom.plans.generated import generation_tasks, ingest_generated
 from boxloom.sources import assets, documents, manifest
 
 RUN = Run(now="2026-05-08T10:00:00+08:00", now_utc="2026-05-08T02:00:00Z", pipeline_id="p", pipeline_version="test")
@@ -217,6 +217,18 @@ def test_direct_result_is_the_same_for_any_part_size(spark):
     assert outcomes[0][2][0] == [("a", 1), ("b", 1)] and outcomes[0][2][1] == [("a", 1)]
 
 
+def test_strict_runs_raise(spark):
+    rows = manifest_rows(spark, "a").withColumn("source_type", F.lit("somewhere"))
+    table = spark.createDataFrame([("a", 1, REPLY, None, None)], REPLY_SCHEMA)
+    assert annotate_directly(rows, table, PLAN, RUN, classify=False).quarantined.count() == 1
+    with pytest.raises(contract.ContractError, match="a: .*source_type"):
+        annotate_directly(rows, table, dataclasses.replace(PLAN, strict=True), RUN, classify=False)
+    foreign = spark.createDataFrame([(json.dumps({"sample_id": "x", "image_asset": {"source_type": "cctv"}}),)], "raw_json string")
+    assert ingest_generated(foreign, RUN).rejected.count() == 1
+    with pytest.raises(contract.ContractError, match="Expected generated"):
+        ingest_generated(foreign, RUN, strict=True)
+
+
 def test_violations_count_through_parts(spark):
     flat = spark.range(5).selectExpr("'s' AS sample_id", "CAST(id AS INT) AS pos", "concat('t', id) AS kind")
 
