@@ -2,8 +2,9 @@
 
 Vectors are dealt to shards; each shard builds a graph and keeps it as one row of a table. Every vector is a
 query to every shard: a (shard, block of queries) pair is one group, so work spreads over shards times blocks and no
-task holds more than one graph and one block. A shard's beam is widened until the recall of an audit against brute
-force over the shard reaches `AUDIT`; a query whose whole beam is linked is asked again with a wider beam and,
+task holds more than one graph and one block. A shard's beam is widened until the mean recall of links to others of
+queries that the graph itself answers reaches `AUDIT` against brute force over the shard; a shard with too few
+such queries to audit, or none of whose beams reaches it, is searched exactly. A query whose whole beam is linked is asked again with a wider beam and,
 as the widest beam, the whole shard. Found pairs are verified by their cosine in double precision. A block
 returns counts and a spanning forest, not pairs, so a cloud of thousands of near copies stays small.
 
@@ -27,6 +28,8 @@ SHARD_VECTORS = 64_000
 QUERY_BLOCK = 5_000
 AUDIT_QUERIES = 200
 AUDIT = 0.98
+AUDIT_LINKED = 50
+AUDIT_MOST = 256
 NEIGHBOURS = 12
 EXPAND = 4
 
@@ -161,32 +164,56 @@ class Graph:
 
     def linked(self, queries: np.ndarray, beam: int, cut: float) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (query, node) at least `cut` alike; beams that are linked to the last place are widened."""
-        pairs = []
+        return self._answers(queries, beam, cut)[:2]
+
+    def _answers(self, queries: np.ndarray, beam: int, cut: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The pairs of `linked`, and which queries the whole shard answered."""
+        pairs, whole = [], np.zeros(len(queries), bool)
         for at in range(0, len(queries), 500):
             todo, wide = np.arange(at, min(at + 500, len(queries))), beam
             while len(todo):
                 if wide >= min(1000, len(self.vectors)):  # the widest beam: the whole shard
                     q, v = np.nonzero(queries[todo] @ self.vectors.T >= cut)
                     pairs.append((todo[q], v))
+                    whole[todo] = True
                     break
                 ids, sims = self.search(queries[todo], wide)
                 over = (sims[:, -1] >= cut) & (ids[:, -1] >= 0) & (ids.shape[1] >= wide)
                 q, c = np.nonzero((sims >= cut) & (ids >= 0) & ~over[:, None])
                 pairs.append((todo[q], ids[q, c]))
                 todo, wide = todo[over], wide * 4
-        return np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
-
-    def audited(self, cut: float) -> int:
-        """The narrowest beam, doubling from 32, whose recall of links reaches AUDIT on a spread of queries."""
-        rows = np.unique(np.linspace(0, len(self.vectors) - 1, AUDIT_QUERIES).astype(int))
-        truth = self.vectors[rows] @ self.vectors.T >= cut
-        beam = 32
-        while beam < len(self.vectors):
-            q, v = self.linked(self.vectors[rows], beam, cut)
-            if truth[q, v].sum() >= AUDIT * truth.sum():
+        return np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs]), whole
+
+    def audited(self, cut: float) -> tuple[int, float]:
+        """The narrowest beam, doubling from 32, whose mean recall reaches AUDIT, and that recall; else the whole shard.
+
+        Queries are drawn until AUDIT_LINKED of them have links to others, but no more than AUDIT_MOST, or all are drawn.
+        Links to itself and queries that the whole shard answers do not count.
+        """
+        n = len(self.vectors)
+        order = np.random.default_rng(3).permutation(n)
+        rows, wanted = [], []
+        for at in range(0, n, AUDIT_QUERIES):
+            if len(rows) >= AUDIT_LINKED:
                 break
+            part = order[at : at + AUDIT_QUERIES]
+            alike = self.vectors[part] @ self.vectors.T >= cut
+            alike[np.arange(len(part)), part] = False
+            links = alike.sum(axis=1)
+            for k in np.flatnonzero((links > 0) & (links <= AUDIT_MOST)).tolist():
+                rows.append(int(part[k]))
+                wanted.append(np.flatnonzero(alike[k]))
+        if len(rows) < AUDIT_LINKED:
+            return n, 1.0
+        keys = np.concatenate([k * n + w for k, w in enumerate(wanted)])
+        counts, beam = np.array([len(w) for w in wanted]), 32
+        while beam < min(1000, n):
+            q, v, whole = self._answers(self.vectors[rows], beam, cut)
+            recall = np.bincount(q[np.isin(q * n + v, keys)], minlength=len(rows)) / counts
+            if not whole.all() and recall[~whole].mean() >= AUDIT:
+                return beam, float(recall[~whole].mean())
             beam *= 2
-        return beam
+        return n, 1.0
 
     def dump(self) -> bytes:
         import pickle
@@ -212,14 +239,15 @@ def _graphs(members: DataFrame, cut: float) -> DataFrame:
         size = table["size"][0].as_py()
         exact = _unit(table["vector"], size)
         graph = Graph.build(exact.astype(np.float32))
+        beam, recall = graph.audited(cut)
         return pa.table({
-            "size": pa.array([size], pa.int32()), "shard": pa.array([table["shard"][0].as_py()], pa.int32()), "beam": pa.array([graph.audited(cut)], pa.int32()),
+            "size": pa.array([size], pa.int32()), "shard": pa.array([table["shard"][0].as_py()], pa.int32()), "beam": pa.array([beam], pa.int32()), "recall": pa.array([recall], pa.float64()),
             "graph": pa.array([graph.dump()], pa.binary()), "firsts": pa.array([table["first"].to_pylist()], pa.list_(pa.int64())),
             "copies": pa.array([table["copies"].to_pylist()], pa.list_(pa.int64())), "exact": pa.array([exact.tobytes()], pa.binary()),
         })
 
     return members.groupBy("size", "shard").applyInArrow(
-        build, "size int, shard int, beam int, graph binary, firsts array<long>, copies array<long>, exact binary"
+        build, "size int, shard int, beam int, recall double, graph binary, firsts array<long>, copies array<long>, exact binary"
     )
 
 
