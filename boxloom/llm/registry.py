@@ -13,6 +13,7 @@ from boxloom.llm import (
     op08_quality,
     op09_benchmark,
     op10_hnsw,
+    op13_exact,
 )
 
 QUERIES = {
@@ -26,9 +27,11 @@ QUERIES = {
     "op8_quality": op08_quality.query,
     "op9_benchmark": op09_benchmark.query,
     "op10_hnsw": op10_hnsw.query,
+    "op13_exact": op13_exact.query,
 }
 
 ORACLES: dict[str, str] = {
     "op5_line_dedup": op05_lines.SQL,
     "op6_chat": op06_chat.SQL,
+    "op13_exact": op13_exact.SQL,
 }
