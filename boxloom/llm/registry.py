@@ -13,6 +13,7 @@ from boxloom.llm import (
     op08_quality,
     op09_benchmark,
     op10_hnsw,
+    op12_negatives,
     op13_exact,
 )
 
@@ -27,11 +28,13 @@ QUERIES = {
     "op8_quality": op08_quality.query,
     "op9_benchmark": op09_benchmark.query,
     "op10_hnsw": op10_hnsw.query,
+    "op12_negatives": op12_negatives.query,
     "op13_exact": op13_exact.query,
 }
 
 ORACLES: dict[str, str] = {
     "op5_line_dedup": op05_lines.SQL,
     "op6_chat": op06_chat.SQL,
+    "op12_negatives": op12_negatives.SQL,
     "op13_exact": op13_exact.SQL,
 }
