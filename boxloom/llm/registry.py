@@ -13,6 +13,7 @@ from boxloom.llm import (
     op08_quality,
     op09_benchmark,
     op10_hnsw,
+    op11_spelling,
     op12_negatives,
     op13_exact,
 )
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_quality": op08_quality.query,
     "op9_benchmark": op09_benchmark.query,
     "op10_hnsw": op10_hnsw.query,
+    "op11_spelling": op11_spelling.query,
     "op12_negatives": op12_negatives.query,
     "op13_exact": op13_exact.query,
 }
