@@ -100,3 +100,24 @@ def remove_repeated_phrases(docs: DataFrame, length: int = 13) -> DataFrame:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return remove_repeated_phrases(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+SQL = r"""
+WITH split AS (
+ SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+ SELECT doc_id, place, array_to_string(list_slice(words, place, place + 12), ' ') AS phrase
+ FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS place FROM split WHERE len(words) >= 13)
+), owners AS (
+ SELECT phrase, min(doc_id) AS owner FROM windows GROUP BY phrase
+), gone AS (
+ SELECT DISTINCT doc_id, w.place + step AS place FROM windows w JOIN owners USING (phrase), (SELECT unnest(range(13)) AS step) WHERE owner < doc_id
+), placed AS (
+ SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM split
+), kept AS (
+ SELECT p.doc_id, count(*) AS n_words, count(g.place) AS n_removed, string_agg(word, ' ' ORDER BY p.place) FILTER (WHERE g.place IS NULL) AS kept
+ FROM placed p LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.place = g.place GROUP BY p.doc_id
+)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""

@@ -9,7 +9,9 @@ expectations are the same messages.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined in page order by
 one space. Inline markup does not break a block; `br` and rules are white space. Scripts, styles, templates, titles and
-comments have no text. Unclosed elements end with their parent or the page.
+comments have no text. Unclosed elements end with their parent or the page. Of raw elements without an end tag a script,
+style, title or textarea goes on to the page's end; others (noscript, object, iframe, svg, template) are passed through, and
+are empty if they close themselves. A `<` that begins no whole tag is text. A page is read in one pass.
 
 Null and empty html: empty text. Pages without content: empty text. Repeated rows are extracted each; other
 columns are ignored. An empty table gives an empty result. Extraction is a map over whole pages.
@@ -19,6 +21,8 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -28,8 +32,10 @@ from pyspark.sql import functions as F
 
 from boxloom.llm.common import Sink, rows_of
 
-_TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_MARK = re.compile(r"<(?:!--|!\[CDATA\[|[!?]|/?[a-zA-Z])")
+_NAME_ENDS = re.compile(r"[\s/>]")
 _RAW = {"script", "style", "title", "noscript", "template", "iframe", "textarea", "svg", "object"}
+_TO_THE_END = {"script", "style", "title", "textarea"}
 _INLINE = set("a abbr b bdi bdo big cite code data del dfn em font i ins kbd mark q ruby rt rp s samp small span strike strong sub sup time tt u var wbr label".split())
 _SPACE = {"br", "hr"}
 _VOID = set("area base col embed img input link meta param source track".split())
@@ -69,8 +75,69 @@ class Tree:
     linked: list[int] = field(default_factory=list)
 
 
+class Tags:
+    """The tags of a page, each found in one pass over it whatever the page holds."""
+
+    def __init__(self, page: str):
+        self.page = page
+        # where a tag ends that meets its k-th `>` or quote outside quotes; -1: in an open quote or never
+        self.special = [m.start() for m in re.finditer("[>\"']", page)]
+        self.ends = [-1] * (len(self.special) + 1)
+        quotes: dict[str, int] = {}
+        for k in range(len(self.special) - 1, -1, -1):
+            x = page[self.special[k]]
+            if x == ">":
+                self.ends[k] = self.special[k] + 1
+            else:
+                self.ends[k] = self.ends[quotes[x] + 1] if x in quotes else -1
+                quotes[x] = k
+        self.last = page.rfind(">")
+        self.name_end = 0
+        self.raw_ends: dict[str, tuple[int, int]] = {}
+
+    def _until(self, mark: str, at: int) -> int:
+        end = self.page.find(mark, at)
+        return len(self.page) if end < 0 else end + len(mark)
+
+    def __iter__(self) -> Iterator[tuple[int, int, str, str, str]]:
+        """start, end, "/" or "", name (empty: a comment or declaration), attributes."""
+        page, at = self.page, 0
+        while m := _MARK.search(page, at):
+            start, mark = m.start(), m[0]
+            if mark == "<!--":
+                end, name, closing, attributes = self._until("-->", m.end()), "", "", ""
+            elif mark == "<![CDATA[":
+                end, name, closing, attributes = self._until("]]>", m.end()), "", "", ""
+            elif start > self.last:
+                return
+            elif mark[-1] in "!?":
+                end, name, closing, attributes = self._until(">", m.end()), "", "", ""
+            else:
+                if self.name_end < m.end():
+                    self.name_end = _NAME_ENDS.search(page, m.end()).start()
+                end = self.ends[bisect_left(self.special, self.name_end)]
+                if end < 0:
+                    at = start + 1
+                    continue
+                name, closing, attributes = page[m.end() - 1 : self.name_end].lower(), mark[1:-1], page[self.name_end : end - 1]
+            at = end
+            skip = yield start, end, closing, name, attributes
+            if skip is not None:
+                at = skip
+                yield start, end, "", "", ""
+
+    def raw_end(self, tag: str, at: int) -> int | None:
+        """The end of the next end tag of a raw element from `at` on."""
+        if tag not in self.raw_ends or 0 <= self.raw_ends[tag][0] < at:
+            m = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(self.page, at)
+            self.raw_ends[tag] = (m.start(), m.end()) if m else (-1, -1)
+        end = self.raw_ends[tag][1]
+        return None if end < 0 else end
+
+
 def parse(page: str) -> Tree:
     tree, stack, links, text = Tree(), [], 0, []
+    places: dict[str, list[int]] = {}  # where the stack holds a tag
 
     def open_node(tag: str, attributes: str) -> None:
         tree.parent.append(stack[-1] if stack else -1)
@@ -78,6 +145,8 @@ def parse(page: str) -> Tree:
         tree.tags.append(tag)
         tree.attributes.append(attributes)
         tree.linked.append(0)
+        if stack:
+            places.setdefault(tag, []).append(len(stack))
         stack.append(len(tree.tags) - 1)
 
     def close_text() -> None:
@@ -87,45 +156,49 @@ def parse(page: str) -> Tree:
                 tree.texts.append((stack[-1], words))
             text.clear()
 
+    def innermost(names: set[str]) -> int:
+        return max((places[x][-1] for x in names if places.get(x)), default=0)
+
     def close_to(names: set[str], until: set[str]) -> None:
         """Close the innermost open element of `names`, unless one of `until` is met first."""
-        for i in range(len(stack) - 1, 0, -1):
-            tag = tree.tags[stack[i]]
-            if tag in names:
-                close_text()
-                del stack[i:]
-                return
-            if tag in until:
-                return
+        place = innermost(names)
+        if place and place >= innermost(until):
+            close_text()
+            for node in stack[place:]:
+                places[tree.tags[node]].pop()
+            del stack[place:]
 
-    open_node("html", "")
-    at, size = 0, len(page)
-    while at < size:
-        m = _TAG.search(page, at)
-        piece = page[at : m.start() if m else size]
+    def add_text(piece: str) -> None:
         if piece:
             text.append(piece)
             if links:
                 tree.linked[stack[-1]] += len(piece)
-        if not m:
-            break
-        at = m.end()
-        if m[2] is None:
+
+    open_node("html", "")
+    tags, at = Tags(page), 0
+    found = iter(tags)
+    for start, end, closing, tag, attributes in found:
+        add_text(page[at:start])
+        at = end
+        if not tag:
             continue
-        closing, tag = m[1], m[2].lower()
         if tag in _SPACE:
             text.append(" ")
         elif tag in _RAW:
-            if not closing:
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-                at = end.end() if end else size
+            if not closing and not (attributes.endswith("/") and tag not in _TO_THE_END):
+                stop = tags.raw_end(tag, end)
+                if stop is None and tag in _TO_THE_END:
+                    stop = len(page)
+                if stop is not None:
+                    at = stop
+                    found.send(stop)
         elif tag in _INLINE:
             if tag == "a":
                 links = max(0, links + (-1 if closing else 1))
         elif tag in _VOID:
             continue
         elif tag == "html":
-            tree.attributes[0] = tree.attributes[0] or m[3]
+            tree.attributes[0] = tree.attributes[0] or attributes
         elif closing:
             close_text()
             close_to({tag}, set())
@@ -138,7 +211,8 @@ def parse(page: str) -> Tree:
                 close_to(*_SIBLINGS[tag])
             if tag == "body":
                 close_to({"head"}, set())
-            open_node(tag, m[3])
+            open_node(tag, attributes)
+    add_text(page[at:])
     close_text()
     return tree
 

@@ -35,6 +35,7 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_phrase_dedup": op02_phrases.SQL,
     "op5_line_dedup": op05_lines.SQL,
     "op6_chat": op06_chat.SQL,
     "op12_negatives": op12_negatives.SQL,

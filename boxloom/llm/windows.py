@@ -12,7 +12,8 @@ small row is shuffled instead of one row per window, and texts are read only for
 4. an anchor with more than `HOT` different segments is compared window by window, by an aggregation over
    window digests, so no group of unbounded size reaches one task.
 
-Runs and segments are told apart by two 64-bit hashes (of anchor and segment) together.
+Runs and segments are told apart by two 64-bit hashes (of anchor and segment) together. Rows with a null doc_id are
+compared with nothing: they stay whole and no other row loses anything because of them.
 """
 
 from __future__ import annotations
@@ -145,7 +146,7 @@ def runs(docs: DataFrame, unit: Unit, only_anchors: bool = False) -> DataFrame:
         if held:
             yield flush()
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id IS NOT NULL")
     kind = {"anchor": "long", "doc_id": "long", "start": "int", "n": "int", "at": "int", "seg": "long"}
     return texts.mapInArrow(scan, ", ".join(f"{f.name} {kind[f.name]}" for f in schema))
 

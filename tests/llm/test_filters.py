@@ -4,13 +4,15 @@ import zlib
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
+import pytest
 import tiktoken
 
 from boxloom.llm import op01_byte_bpe, op08_quality, op09_benchmark
 from boxloom.llm.common import store
+from pyspark.sql import functions as F
 from llm_cases import corpus, frame, sha, tables
 from test_lines import brute as lines_brute
-from test_near import brute_print, classes
+from test_similar import brute as near_classes
 
 SF = "/root/testdata/sf0.01"
 
@@ -112,8 +114,7 @@ def test_pipeline_against_brute_force(spark, tmp_path):
         key = lambda line: line.strip(" \t\n\x0b\x0c\r").lower()
         kept[i] = "\n".join(x for x in (t or "").split("\n") if not (len(key(x)) >= 20 and len(holders[key(x)]) >= 3 and i < max(holders[key(x)])))
         assert sha(kept[i]) == dropped[i][2]
-    prints = {i: brute_print(t) for i, t in kept.items()}
-    group = classes(list(prints), [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 4])
+    group = near_classes(list(kept.items()))
     kept = {i: t for i, t in kept.items() if group[i] == i}
     kept = {i: t for i, t in kept.items() if not leaks([(i, t)], items)}
     coder = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=op01_byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), special_tokens={})
@@ -122,3 +123,28 @@ def test_pipeline_against_brute_force(spark, tmp_path):
         ids = coder.encode_ordinary(t)
         want.add((i, len(ids), sha(" ".join(map(str, ids))), sha(t)))
     assert got == want
+
+
+@pytest.mark.parametrize("clash", ["packed", "keys", "kept", "n_lines", "n_dropped", "key", "row", "point", "text_hash", "component_id", "first", "score", "shard"])
+def test_stages_with_clashing_names(spark, tmp_path, clash):
+    """Every stage but the last keeps the columns of its input, whatever they are called."""
+    if not hasattr(test_stages_with_clashing_names, "folder"):
+        texts = [(1, None), (2, ""), (3, "a shared line of more than twenty letters\nown"), (4, "a shared line of more than twenty letters"), (5, "A shared line of more than twenty letters "), (5, "other text"), (5, "other text")]
+        rows = [(i, t, "en", "s", len(t or "")) for i, t in texts]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+        labels, bench = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int"), spark.createDataFrame([(1, "not here")], "item_id long, text string")
+        test_stages_with_clashing_names.folder = tables(tmp_path, documents=docs, labels=labels, benchmark=bench)
+    folder = test_stages_with_clashing_names.folder
+    docs = spark.read.parquet(f"{folder}/documents.parquet").withColumn(clash, F.col("doc_id") + 100)
+    stages = corpus_pipeline.STAGES[1:3] if clash not in ("key", "score") else corpus_pipeline.STAGES[:-1]
+    for _, stage in stages:
+        after = stage(spark, docs, folder)
+        assert after.schema.simpleString() == docs.schema.simpleString()
+        assert all(r[clash] == r.doc_id + 100 for r in after.collect()) and stage(spark, docs.where("false"), folder).count() == 0
+
+
+def test_near_copies_judges_rows_that_repeat_an_id(spark):
+    t, other = "one two three four five six seven", "a b c d e f g h i"
+    rows = [(1, t), (5, t), (5, other), (8, other), (None, t), (None, other), (9, None), (10, "")]
+    left = corpus_pipeline.drop_near_copies(spark, frame(spark, rows), "").collect()
+    assert sorted(((r.doc_id or 0, r.text) for r in left), key=str) == sorted([(1, t), (5, other), (0, t), (0, other), (9, None)], key=str)

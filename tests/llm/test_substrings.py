@@ -95,3 +95,12 @@ def test_repeated_rows(spark):
     twice = frame(spark, [(4, text), (4, text)])
     assert [r.n_removed for r in op02_phrases.remove_repeated_phrases(twice).collect()] == [0, 0]
     assert [r.n_removed for r in op03_suffixes.remove_repeated_strings(twice).collect()] == [len(text)] * 2
+
+
+def test_rows_without_doc_id_stay_whole(spark):
+    text = "w " * 300
+    rows = [(None, text), (None, text), (1, text), (2, "x" + text), (None, None)]
+    phrases = {(r.doc_id, r.n_removed) for r in op02_phrases.remove_repeated_phrases(frame(spark, rows)).collect()}
+    assert phrases == {(None, 0), (1, 0), (2, 299)}
+    strings = [(r.doc_id, r.n_removed) for r in op03_suffixes.remove_repeated_strings(frame(spark, rows)).collect()]
+    assert sorted(strings, key=str) == sorted([(None, 0)] * 3 + [(1, 600), (2, 600)], key=str)
