@@ -276,37 +276,41 @@ def _by_halves(asked: Words, held: Words, q: np.ndarray, h: np.ndarray) -> tuple
 def near(asked: Words, held: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs (asked word, held word) that differ by exactly one inserted, deleted or replaced code point."""
 
-    def verified(q: np.ndarray, h: np.ndarray):
-        size, other = asked.sizes[q], held.sizes[h]
-        for a, b in np.unique(np.c_[size, other], axis=0).tolist():
-            rows = np.flatnonzero((size == a) & (other == b))
-            step = max(1, CELLS // max(a, b))
-            for at in range(0, len(rows), step):
-                part = rows[at : at + step]
-                left, right = asked.letters(q[part], a), held.letters(h[part], b)
-                ok = _one_apart(left, right) if a <= b else _one_apart(right, left)
-                yield q[part[ok]], h[part[ok]]
-
-    for query, leaf in search(held.vectors, asked.vectors):
+    def verified(q: np.ndarray, h: np.ndarray, a: int, b: int):
+        """Of pairs of words of `a` and `b` letters those one apart."""
+        step = max(1, CELLS // max(a, b))
+        for at in range(0, len(q), step):
+            part = slice(at, at + step)
+            left, right = asked.letters(q[part], a), held.letters(h[part], b)
+            ok = _one_apart(left, right) if a <= b else _one_apart(right, left)
+            yield q[part][ok], h[part][ok]
+
+    def leaves(query: np.ndarray, leaf: np.ndarray, a: int, b: int):
         pairs = asked.many[query] * held.many[leaf]
-        large = np.flatnonzero(pairs > MESH)
-        for k in large.tolist():
+        for k in np.flatnonzero(pairs > MESH).tolist():
             x, y = query[k], leaf[k]
             q = asked.by_vector[asked.first[x] : asked.first[x] + asked.many[x]]
-            yield from verified(*_by_halves(asked, held, q, held.by_vector[held.first[y] : held.first[y] + held.many[y]]))
+            yield from verified(*_by_halves(asked, held, q, held.by_vector[held.first[y] : held.first[y] + held.many[y]]), a, b)
         small = pairs <= MESH
         query, leaf, pairs = query[small], leaf[small], pairs[small]
-        ends = np.cumsum(pairs)
-        at = 0
+        ends, at = np.cumsum(pairs), 0
         while at < len(pairs):
             to = max(at + 1, int(np.searchsorted(ends, ends[at] - pairs[at] + CELLS // 10)))
             n = pairs[at:to]
             place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             x, y = np.repeat(query[at:to], n), np.repeat(leaf[at:to], n)
             q = asked.by_vector[asked.first[x] + place // held.many[y]]
-            yield from verified(q, held.by_vector[held.first[y] + place % held.many[y]])
+            yield from verified(q, held.by_vector[held.first[y] + place % held.many[y]], a, b)
             at = to
 
+    for query, leaf in search(held.vectors, asked.vectors):
+        size = asked.vectors[query, 0]
+        more = held.vectors[leaf, 0] - size
+        sizes, which = np.unique(size * 3 + more + 1, return_inverse=True)
+        for k, code in enumerate(sizes.tolist()):
+            rows = np.flatnonzero(which == k)
+            yield from leaves(query[rows], leaf[rows], code // 3, code // 3 + code % 3 - 1)
+
 
 def _answer(table: pa.Table) -> pa.Table:
     """Per asking word the number of its near words in this shard and the one of largest n, ties in code-point order."""
