@@ -1,12 +1,17 @@
 """Embedding near-dedup by hierarchical navigable small-world graphs, one per shard.
 
-Vectors are dealt to shards; each shard builds a graph and keeps it as one row of a table. Every vector is a
-query to every shard: a (shard, block of queries) pair is one group, so work spreads over shards times blocks and no
-task holds more than one graph and one block. A shard's beam is widened until the mean recall of links to others of
-queries that the graph itself answers reaches `AUDIT` against brute force over the shard; a shard with too few
-such queries to audit, or none of whose beams reaches it, is searched exactly. A query whose whole beam is linked is asked again with a wider beam and,
-as the widest beam, the whole shard. Found pairs are verified by their cosine in double precision. A block
-returns counts and a spanning forest, not pairs, so a cloud of thousands of near copies stays small.
+Vectors are dealt to shards; each shard builds a graph and keeps it as one row of a table. Every vector is a query to every
+shard: queries move to the shards, of which each task opens one graph, once, and answers its queries as they
+stream by. A shard that all queries would keep busy for too long is copied to several tasks, one per
+`TASK_QUERIES` queries, so shuffled bytes follow vectors times shards.
+
+A shard's beam is chosen by an audit: stored vectors, turned by random directions to a cosine between the threshold and
+half way to 1, are asked, and the beam is doubled until the mean recall of what the graph itself finds reaches `AUDIT`
+against brute force over the shard. So recall is measured whatever links a table has. If no beam reaches it, the
+shard is searched exactly; the beam and the recall of each shard are columns of `graphs`. A query whose whole
+beam is linked is asked again with a wider beam and, as the widest beam, the whole shard. Found pairs are verified by their
+cosine in double precision. A block of queries returns counts and a spanning forest, not pairs, so a cloud of thousands of near copies
+stays small.
 
 Equal vectors are collapsed into one row with a count before anything else: copies are links of each other.
 Vectors that are null, zero or hold null or non-finite components link with nothing; vectors are compared
@@ -24,12 +29,15 @@ from pyspark.sql import functions as F
 from boxloom.llm.common import store
 from boxloom.llm.components import Forest, components
 
-SHARD_VECTORS = 64_000
+#: Components of one shard: 64,000 vectors of 64 dimensions.
+SHARD_CELLS = 64_000 * 64
+#: Small tables are cut finer, down to this many vectors, while there are free cores.
+LEAST_VECTORS = 8_000
+TASK_QUERIES = 250_000
 QUERY_BLOCK = 5_000
 AUDIT_QUERIES = 200
 AUDIT = 0.98
-AUDIT_LINKED = 50
-AUDIT_MOST = 256
+BACK_LINKS = 64
 NEIGHBOURS = 12
 EXPAND = 4
 
@@ -101,12 +109,16 @@ class Graph:
         table = self.layers[k]
         order = np.argsort(target, kind="stable")
         source, target = source[order], target[order]
-        nodes, first, counts = np.unique(target, return_index=True, return_counts=True)
-        width = min(int(counts.max()), 64)
-        more = np.full((len(nodes), width), -1, np.int32)
-        place = np.arange(len(target)) - np.repeat(first, counts)
-        ok = place < width
-        more[np.repeat(np.arange(len(nodes)), counts)[ok], place[ok]] = source[ok]
+        place = np.arange(len(target)) - np.searchsorted(target, target)
+        # a node with very many new links gets them in rounds, so that each is weighed against those it has
+        for round_no in range(int(place.max(initial=-1)) // BACK_LINKS + 1):
+            here = place // BACK_LINKS == round_no
+            self._add_back(table, source[here], target[here], place[here] % BACK_LINKS)
+
+    def _add_back(self, table: np.ndarray, source: np.ndarray, target: np.ndarray, place: np.ndarray) -> None:
+        nodes, which = np.unique(target, return_inverse=True)
+        more = np.full((len(nodes), int(place.max()) + 1), -1, np.int32)
+        more[which.ravel(), place] = source
         for at in range(0, len(nodes), 2000):
             rows = nodes[at : at + 2000]
             ids = np.c_[table[rows], more[at : at + 2000]]
@@ -184,34 +196,33 @@ class Graph:
                 todo, wide = todo[over], wide * 4
         return np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs]), whole
 
+    def planted(self, cut: float) -> np.ndarray:
+        """Stored vectors turned by random directions, to cosines between `cut` and half way to 1."""
+        rng = np.random.default_rng(3)
+        chosen = self.vectors[rng.permutation(len(self.vectors))[:AUDIT_QUERIES]].astype(np.float64)
+        away = rng.normal(size=chosen.shape)
+        away -= (away * chosen).sum(axis=1, keepdims=True) * chosen
+        length = np.linalg.norm(away, axis=1, keepdims=True)
+        away /= np.where(length > 1e-9, length, 1)  # in one dimension there is no other direction
+        cosine = rng.uniform(cut, (1 + cut) / 2, (len(chosen), 1))
+        turned = cosine * chosen + np.sqrt(1 - cosine**2) * away
+        return (turned / np.linalg.norm(turned, axis=1, keepdims=True)).astype(np.float32)
+
     def audited(self, cut: float) -> tuple[int, float]:
-        """The narrowest beam, doubling from 32, whose mean recall reaches AUDIT, and that recall; else the whole shard.
+        """The narrowest beam, doubling from 32, whose mean recall on planted queries reaches AUDIT, and that recall; else the whole shard.
 
-        Queries are drawn until AUDIT_LINKED of them have links to others, but no more than AUDIT_MOST, or all are drawn.
-        Links to itself and queries that the whole shard answers do not count.
+        Queries that the whole shard answers do not count.
         """
-        n = len(self.vectors)
-        order = np.random.default_rng(3).permutation(n)
-        rows, wanted = [], []
-        for at in range(0, n, AUDIT_QUERIES):
-            if len(rows) >= AUDIT_LINKED:
-                break
-            part = order[at : at + AUDIT_QUERIES]
-            alike = self.vectors[part] @ self.vectors.T >= cut
-            alike[np.arange(len(part)), part] = False
-            links = alike.sum(axis=1)
-            for k in np.flatnonzero((links > 0) & (links <= AUDIT_MOST)).tolist():
-                rows.append(int(part[k]))
-                wanted.append(np.flatnonzero(alike[k]))
-        if len(rows) < AUDIT_LINKED:
-            return n, 1.0
-        keys = np.concatenate([k * n + w for k, w in enumerate(wanted)])
-        counts, beam = np.array([len(w) for w in wanted]), 32
+        n, queries = len(self.vectors), self.planted(cut)
+        q, v = np.nonzero(queries @ self.vectors.T >= cut)
+        keys, counts, beam = q * n + v, np.bincount(q, minlength=len(queries)), 32
         while beam < min(1000, n):
-            q, v, whole = self._answers(self.vectors[rows], beam, cut)
-            recall = np.bincount(q[np.isin(q * n + v, keys)], minlength=len(rows)) / counts
-            if not whole.all() and recall[~whole].mean() >= AUDIT:
-                return beam, float(recall[~whole].mean())
+            found, near, whole = self._answers(queries, beam, cut)
+            hits = np.bincount(found[np.isin(found * n + near, keys)], minlength=len(queries))
+            judged = ~whole & (counts > 0)
+            recall = float((hits[judged] / counts[judged]).mean()) if judged.any() else 1.0
+            if recall >= AUDIT:
+                return beam, recall
             beam *= 2
         return n, 1.0
 
@@ -252,36 +263,71 @@ def _graphs(members: DataFrame, cut: float) -> DataFrame:
 
 
 def _ask(cosine: float):
-    def ask(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        none = pa.table({"node": pa.array([], pa.int64()), "root": pa.array([], pa.int64()), "links": pa.array([], pa.int64())})
-        if not left.num_rows or not right.num_rows:
-            return none
-        size = right["size"][0].as_py()
-        exact = _unit(right["vector"], size)
-        there = np.frombuffer(left["exact"][0].as_py(), np.float64).reshape(-1, size)
-        graph = Graph.load(left["graph"][0].as_py(), there.astype(np.float32))
-        q, v = graph.linked(exact.astype(np.float32), left["beam"][0].as_py(), cosine - 1e-4)
-        firsts, copies = np.asarray(left["firsts"][0].values), np.asarray(left["copies"][0].values)
-        mine = right["first"].to_numpy()
+    """Answers to the queries that follow their shard's graph in a partition: links, and a forest, per block of queries."""
+    schema = pa.schema([("node", pa.int64()), ("root", pa.int64()), ("links", pa.int64())])
+
+    def answer(graph: Graph, there: np.ndarray, held: dict, rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(rows)
+        exact, mine = _unit(table["vector"], held["size"]), table["first"].to_numpy()
+        q, v = graph.linked(exact.astype(np.float32), held["beam"], cosine - 1e-4)
         sure = np.zeros(len(q), bool)
         for at in range(0, len(q), 100_000):
             part = slice(at, at + 100_000)
             sure[part] = np.einsum("nd,nd->n", exact[q[part]], there[v[part]]) >= cosine
         q, v = q[sure], v[sure]
-        other = firsts[v] != mine[q]
+        other = held["firsts"][v] != mine[q]
         q, v = q[other], v[other]
-        links = np.bincount(q, weights=copies[v], minlength=len(mine)).astype(np.int64)
+        links = np.bincount(q, weights=held["copies"][v], minlength=len(mine)).astype(np.int64)
         forest = Forest()
-        for x, y in zip(mine[q].tolist(), firsts[v].tolist(), strict=True):
+        for x, y in zip(mine[q].tolist(), held["firsts"][v].tolist(), strict=True):
             forest.union(x, y)
         a, b = forest.edges()
         some = np.flatnonzero(links)
-        return pa.table({
-            "node": pa.array([*a, *mine[some].tolist()], pa.int64()), "root": pa.array([*b, *[None] * len(some)], pa.int64()),
-            "links": pa.array([*[0] * len(a), *links[some].tolist()], pa.int64()),
-        })
-
-    return ask
+        columns = [*a, *mine[some].tolist()], [*b, *[None] * len(some)], [*[0] * len(a), *links[some].tolist()]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
+
+    def scan(batches):
+        place, graph, there, held, waiting = None, None, None, {}, []
+        for batch in batches:
+            keys = np.stack([batch.column(k).to_numpy() for k in range(4)], axis=1)
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if a == b:
+                    continue
+                rows, (*here, role) = batch.slice(a, b - a), keys[a].tolist()
+                if here != place:
+                    if waiting:
+                        yield answer(graph, there, held, waiting)
+                    place, graph, waiting = here, None, []
+                if role == 0:
+                    row = rows.select(["beam", "graph", "exact"]).to_pylist()[0]
+                    held = {"size": here[0], "beam": row["beam"]}
+                    held |= {c: np.asarray(rows.column(rows.schema.get_field_index(c))[0].values) for c in ("firsts", "copies")}
+                    there = np.frombuffer(row["exact"], np.float64).reshape(-1, here[0])
+                    graph = Graph.load(row["graph"], there.astype(np.float32))
+                elif graph is not None:
+                    waiting.append(rows)
+                    if sum(r.num_rows for r in waiting) >= QUERY_BLOCK:
+                        yield answer(graph, there, held, waiting)
+                        waiting = []
+        if waiting:
+            yield answer(graph, there, held, waiting)
+
+    return scan
+
+
+def _points(good: DataFrame) -> DataFrame:
+    """Different vectors with their smallest id and how many there are."""
+    return store(good.groupBy("vector").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies")).withColumn("size", F.size("vector")), "points")
+
+
+def graphs(points: DataFrame, cosine: float) -> tuple[DataFrame, int]:
+    """size, shard, beam, recall (as audited), graph and its vectors, per shard; and the number of shards."""
+    total, cells = points.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    cores = points.sparkSession.sparkContext.defaultParallelism
+    shards = max(1, -(-cells // SHARD_CELLS), min(cores, -(-total // LEAST_VECTORS)))
+    members = points.withColumn("shard", F.pmod(F.hash("first"), F.lit(shards)).cast("int"))
+    return store(_graphs(members, cosine), "graphs"), shards
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -292,18 +338,20 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_
     )
     rows = rows.withColumn("usable", F.coalesce(usable, F.lit(False)))
     good = rows.where("usable")
-    points = store(
-        good.groupBy("vector").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies")).withColumn("size", F.size("vector")), "points"
-    )
-    total = points.count()
-    shards = max(1, -(-total // SHARD_VECTORS))
-    blocks = max(1, -(-total // QUERY_BLOCK))
-    members = points.withColumn("shard", F.pmod(F.hash("first"), F.lit(shards)).cast("int"))
-    graphs = store(_graphs(members, cosine), "graphs")
-    asked = points.withColumn("block", F.pmod(F.xxhash64("first"), F.lit(blocks)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    spread = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    keys = ["size", "shard", "block"]
-    answers = store(spread.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(_ask(cosine), "node long, root long, links long"), "answers")
+    points = _points(good)
+    built, shards = graphs(points, cosine)
+    cores, total = good.sparkSession.sparkContext.defaultParallelism, points.count()
+    # tasks per shard
+    copies = max(1, -(-total // TASK_QUERIES), min(-(-total // QUERY_BLOCK), -(-cores // shards)))
+    salt = F.pmod(F.xxhash64("first"), F.lit(copies)).cast("int")
+    kinds = {"first": "bigint", "vector": "array<double>", "beam": "int", "graph": "binary", "exact": "binary", "firsts": "array<bigint>", "copies": "array<bigint>"}
+    each = lambda n, name: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
+    none = lambda *names: [F.lit(None).cast(kinds[n]).alias(n) for n in names]
+    there = built.select("size", "shard", each(copies, "salt"), F.lit(0).alias("role"), *none("first", "vector"), "beam", "graph", "exact", "firsts", "copies")
+    asked = points.select("size", each(shards, "shard"), salt.alias("salt"), F.lit(1).alias("role"), "first", "vector", *none("beam", "graph", "exact", "firsts", "copies"))
+    tasks = shards * copies
+    dealt = there.unionByName(asked).repartitionById(tasks, F.pmod(F.col("shard") * copies + F.col("salt") + F.col("size"), F.lit(tasks)))
+    answers = store(dealt.sortWithinPartitions("size", "shard", "salt", "role").mapInArrow(_ask(cosine), "node long, root long, links long"), "answers")
     labels = components(answers.where("root IS NOT NULL").selectExpr("node AS a", "root AS b"))
     counts = answers.where("root IS NULL").groupBy("node").agg(F.sum("links").alias("links"))
     classes = (
