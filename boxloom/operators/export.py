@@ -9,7 +9,7 @@ from boxloom import vocab
 from boxloom.functions.columns import let, literal_map, nonblank
 from boxloom.functions.geometry import percent_rect
 from boxloom.functions.text import control_name, forward_slashes, xml_escape
-from boxloom.operators.ranking import numbered
+from boxloom.operators.ranking import dense_ids, numbered
 from boxloom.session import stored
 
 
@@ -112,6 +112,12 @@ def ordered_tasks(tasks: DataFrame) -> DataFrame:
     return tasks.orderBy(key).select("data", "predictions")
 
 
+def task_positions(tasks: DataFrame) -> DataFrame:
+    """Tasks with `position`, from 1, in the order of `ordered_tasks` (document names or sample ids differ)."""
+    key = F.col("document") if "document" in tasks.columns else F.col("data.sample_id")
+    return dense_ids(tasks.withColumn("_key", key), ["_key"], "position").select("position", "data", "predictions")
+
+
 def mark_exported(samples: DataFrame, export_uri: str, now: str) -> DataFrame:
     """Export state and workflow status of the exportable samples; discarded ones stay as they are."""
     exported = (

@@ -393,8 +393,8 @@ LABELLED = "documents d JOIN labels l ON d.doc_id = l.doc_id"
 
 
 def json_answers(t: Tables) -> DataFrame:
-    """Answers of labelled documents; the others reply in prose, which is no JSON."""
-    return t.answers.select("doc_id", "raw_text", F.try_parse_json("raw_text").alias("raw")).filter("raw IS NOT NULL")
+    """All replies read as JSON; documents without labels reply in prose, which is none (null)."""
+    return t.answers.select("doc_id", "raw_text", F.try_parse_json("raw_text").alias("raw"))
 
 
 @query(
@@ -416,7 +416,8 @@ NORMALIZED = f"""SELECT d.doc_id, k.key, CASE WHEN k.key = 'hard_hat' THEN l.qua
 
 @query("k2_normalized_answers", NORMALIZED)
 def k2(t: Tables) -> DataFrame:
-    rows = json_answers(t).select("doc_id", classify.normalize_answers(F.col("raw")).alias("a"))
+    """Twelve answers of every reply that is JSON; `k2_replies_without_answers` shows what becomes of others."""
+    rows = json_answers(t).filter("raw IS NOT NULL").select("doc_id", classify.normalize_answers(F.col("raw")).alias("a"))
     keys = F.array(*[F.lit(key) for key in vocab.ANSWER_KEYS])
     members = F.try_variant_get("a", "$", "map<string,variant>")
     notes = F.try_variant_get("a", "$.notes", "map<string,string>")
@@ -428,6 +429,26 @@ def k2(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "k2_replies_without_answers",
+    f"""SELECT d.doc_id, CASE WHEN d.doc_id % 4 = 1 THEN '{vocab.NOT_AN_OBJECT}' WHEN d.doc_id % 4 = 2 THEN 'busy' END AS error,
+    CASE WHEN d.doc_id % 4 = 1 THEN concat('[', d.doc_id, ',true]') END AS raw,
+    CASE WHEN d.doc_id % 4 IN (1, 2) THEN 0 WHEN l.doc_id IS NULL THEN NULL ELSE {len(vocab.ANSWER_KEYS)} END AS n_answers
+    FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
+)
+def k2_others(t: Tables) -> DataFrame:
+    """Replies that are no object become an error with the reply, replies with an error stay as they are, prose is null."""
+    text = F.expr("CASE doc_id % 4 WHEN 1 THEN concat('[', doc_id, ', true]') WHEN 2 THEN '{\"error\": \"busy\", \"hard_hat\": 1}' ELSE raw_text END")
+    rows = t.answers.select("doc_id", classify.normalize_answers(F.try_parse_json(text)).alias("a"))
+    members = F.try_variant_get("a", "$", "map<string,variant>")
+    keys = F.array(*[F.lit(key) for key in vocab.ANSWER_KEYS])
+    booleans = F.size(F.filter(keys, lambda key: F.schema_of_variant(F.try_element_at(members, key)) == "BOOLEAN"))
+    return rows.select(
+        "doc_id", F.try_variant_get("a", "$.error", "string").alias("error"), F.to_json(F.try_element_at(members, F.lit("raw"))).alias("raw"),
+        F.when(members.isNotNull(), booleans).alias("n_answers"),
+    )
+
+
 # whole document texts around the mentions; their own true/false words are blanked out first
 QUIET = "regexp_replace(text, '(?i)true|false', '-'{flag})"
 PROSE = """concat(quiet, ' **smoking**: none seen (false). Hard_Hat again: true then False ', quiet,
@@ -625,3 +646,25 @@ def r2(t: Tables) -> DataFrame:
 
     done, _ = scoring.score_with_retry(t.read("part").select("p_partkey", "p_size"), make_model, "detection", 3)
     return done.select("p_partkey", "attempt", F.try_variant_get("payload", "$.doubled", "int").alias("doubled"))
+
+
+@query(
+    "r2_failed_requests",
+    f"""SELECT p_partkey, CASE WHEN p_size % 11 = 0 THEN '{scoring.CALL_ERROR}' ELSE '{vocab.DETECTION_PARSE_ERROR}' END AS error_class,
+    CASE WHEN p_size % 11 = 0 THEN concat('ConnectionError: ', p_size) ELSE 'busy' END AS error_preview
+    FROM part WHERE p_size % 11 = 0 OR p_size % 7 = 0""",
+)
+def r2_failed(t: Tables) -> DataFrame:
+    """A model that raises for sizes divisible by eleven and never answers readably for those divisible by seven."""
+
+    def make_model():
+        def model(batch):
+            dead = batch["p_size"][batch["p_size"] % 11 == 0]
+            if len(dead):
+                raise ConnectionError(str(dead.iloc[0]))
+            return batch["p_size"].map(lambda size: "busy" if size % 7 == 0 else '{"n": 1}')
+
+        return model
+
+    _, failed = scoring.score_with_retry(t.read("part").select("p_partkey", "p_size"), make_model, "detection", 2)
+    return failed.select("p_partkey", "error_class", "error_preview")

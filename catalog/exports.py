@@ -134,6 +134,16 @@ def e4(t: Tables) -> DataFrame:
     return rows.select("sample_id", "image", F.size("r").alias("n_results"), total.alias("box_widths"))
 
 
+@query(
+    "w5_task_positions",
+    f"SELECT row_number() OVER (ORDER BY sample_id) AS position, sample_id FROM ({sc.SCENE_SQL})",
+)
+def w5(t: Tables) -> DataFrame:
+    """Tasks in their order, by number, so that the order itself is checked."""
+    tasks = sc.scenes(t).select(F.struct("sample_id").alias("data"), F.array().cast("array<string>").alias("predictions"))
+    return export.task_positions(tasks).select("position", "data.sample_id")
+
+
 @query(
     "e5_export_state",
     f"""SELECT sample_id, CASE WHEN k % 31 = 0 THEN 'not_exported' ELSE 'exported' END AS export_status,

@@ -203,6 +203,31 @@ def test_scoring_retries_only_failures(spark):
     assert sorted(r.sample_id for r in failed.collect()) == [3, 7, 11, 15, 19]
 
 
+def test_a_model_that_raises_is_a_failed_attempt(spark):
+    """One poisoned row fails alone; a flaky call succeeds when it is asked again."""
+    requests = spark.range(20).withColumnRenamed("id", "sample_id")
+
+    def make_model():
+        def model(batch):
+            if (batch["sample_id"] == 7).any():
+                raise ConnectionError("no route " + "x" * 1000)
+            if ((batch["sample_id"] == 3) & (batch["attempt"] < 3)).any():
+                raise TimeoutError("late")
+            if (batch["sample_id"] == 9).any():
+                return ['{"n": 1}'] * (len(batch) + 1)
+            return batch["sample_id"].map(lambda i: "sorry" if i == 11 else '{"n": 1}')
+
+        return model
+
+    once = {r.sample_id: r for r in scoring.score(requests.selectExpr("*", "1 AS attempt"), make_model, 2).collect()}
+    assert len(once) == 20 and {i for i, r in once.items() if r.call_error} == {3, 7, 9} and once[3].raw_text is None
+    assert len(once[7].call_error) == scoring.ERROR_CHARS and once[9].call_error.startswith("ValueError: 2 replies")
+    done, failed = scoring.score_with_retry(requests, make_model, "review", 3, partitions=3)
+    assert {r.sample_id: r.attempt for r in done.collect()} == {i: 3 if i == 3 else 1 for i in range(20) if i not in (7, 9, 11)}
+    errors = {r.sample_id: (r.error_class, r.error_preview.split(":")[0]) for r in failed.collect()}
+    assert errors[7] == (scoring.CALL_ERROR, "ConnectionError") and errors[9] == (scoring.CALL_ERROR, "ValueError") and errors[11][1] == "sorry" and len(errors) == 3
+
+
 def test_first_parseable_and_attempts(spark):
     rows = [("a", 1, "x"), ("a", 2, '{"v": 2}'), ("a", 3, '{"v": 3}'), ("b", 4, '{"v": 4}'), ("b", 1, "x"), ("c", 1, '{"v": 1}')]
     table = replies.parse_replies(spark.createDataFrame(rows, "sample_id string, attempt int, raw_text string"), "detection")
