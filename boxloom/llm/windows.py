@@ -165,8 +165,9 @@ def candidates(docs: DataFrame, unit: Unit, open_only: str) -> Candidates:
     # stored, so that the join below has two plain shuffles, of which a hot anchor's can be split at run time
     recurring = store(runs(docs, unit, only_anchors=True).groupBy("anchor").count().where("count > 1").select("anchor"), "recurring")
     found = store(runs(docs, unit).join(recurring, "anchor", "left_semi"), "runs")
-    segments = found.groupBy("anchor", "seg").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("copies"))
-    known = store(found.join(segments, ["anchor", "seg"]), "segments")
+    # stored for the same reason: a segment of very many runs is a hot key of the join
+    segments = store(found.groupBy("anchor", "seg").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("copies")), "kinds")
+    known = store(found.join(segments.hint("merge"), ["anchor", "seg"]), "segments")
     kinds = segments.groupBy("anchor").agg(F.count("*").alias("kinds"), F.max(F.expr(open_only).cast("int")).alias("open")).where("kinds > 1 AND open = 1")
     wanted = (
         known.where("doc_id = first_doc")
