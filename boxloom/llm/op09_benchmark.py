@@ -9,11 +9,12 @@ k = floor((1 - similarity) * n) from it.
 2. Each such window and each item is embedded by CGK random walks: step j writes the current symbol and
    moves on by a random bit that depends on j and the symbol. A table samples a few places of the walk; windows and
    items with equal samples collide. Walks are added until the recall measured on items with k random edits reaches
-   `RECALL`.
+   `RECALL`; if `MOST_WALKS` walks of a length do not reach it, every window of step 1 is verified with its item instead.
 3. Colliding pairs are verified by exact edit distance.
 
-The scan of the documents is one map: items are a stated query set, shipped in blocks of at most `ITEMS_PER_SCAN`
-items; more items mean more scans, not more memory.
+Items are dealt to blocks of about `BLOCK_CHARS` characters and `ITEMS_PER_SCAN` items, compiled in tasks and stored. The scan of the
+documents is one map per block, which gets its block alone; with several blocks each scan is stored before the next
+begins. So more items mean more scans, while driver and executors hold one block at a time.
 
 Null and empty texts and items match nothing. Copies of an item are reported each by its item_id; repeated documents
 are each reported. Other columns are ignored by `find` and passed on by `remove_contaminated`. Empty tables
@@ -29,11 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxloom.llm.common import Sink
+from boxloom.llm.common import Sink, store
 
 SIMILARITY = 0.8
 RECALL = 0.97
 ITEMS_PER_SCAN = 20_000
+BLOCK_CHARS = 8_000_000
+MOST_WALKS = 64
 TABLES_PER_WALK, SAMPLED = 8, 3
 
 _MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
@@ -62,9 +65,9 @@ class Walks:
     def __init__(self, length: int, walks: int):
         rng = np.random.default_rng(length)
         self.length, self.steps = length, 3 * length
-        self.a = rng.integers(0, 2**63, (64, self.steps), dtype=np.uint64)[:walks] | np.uint64(1)
-        self.b = rng.integers(0, 2**63, (64, self.steps), dtype=np.uint64)[:walks]
-        self.places = rng.integers(0, self.steps, (64, TABLES_PER_WALK, SAMPLED))[:walks]
+        self.a = rng.integers(0, 2**63, (MOST_WALKS, self.steps), dtype=np.uint64)[:walks] | np.uint64(1)
+        self.b = rng.integers(0, 2**63, (MOST_WALKS, self.steps), dtype=np.uint64)[:walks]
+        self.places = rng.integers(0, self.steps, (MOST_WALKS, TABLES_PER_WALK, SAMPLED))[:walks]
 
     def keys(self, symbols: np.ndarray) -> np.ndarray:
         """tables x rows: the sampled places of each walk as one number."""
@@ -88,7 +91,7 @@ class Walks:
 class Items:
     """A block of items, compiled for scanning."""
 
-    def __init__(self, items: list[tuple[int, str | None]], similarity: float):
+    def __init__(self, items: list[tuple[int, str | None]], similarity: float, recall: float):
         self.codes: dict[bytes, int] = {}
         self.ids, self.words, self.distance, self.need, self.grams = [], [], [], [], []
         self.by_gram: dict[int, dict[tuple, list[int]]] = defaultdict(lambda: defaultdict(list))
@@ -116,16 +119,18 @@ class Items:
         for n, members in self.of_length.items():
             members = np.array(members)
             symbols = np.array([self.words[i] for i in members], np.int64)
-            walks = _walks_needed(symbols, self.distance[members[0]])
+            walks = _walks_needed(symbols, self.distance[members[0]], recall)
+            if walks is None:
+                continue
             keys = walks.keys(symbols)
             order = np.argsort(keys, axis=1, kind="stable")
             self.tables[n] = (walks, members, symbols, np.take_along_axis(keys, order, 1), order)
 
-    def windows(self, words: list[bytes]) -> dict[int, list[tuple[int, int]]]:
-        """By item length: (start, last start) of windows that share enough grams with some item of it."""
+    def windows(self, words: list[bytes]) -> dict[int, list[tuple[int, int, int]]]:
+        """By item length: (start, last start, item) of windows that share enough grams with an item of it."""
         get = self.codes.get
         coded = [get(w, 1) for w in words]
-        out: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        out: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
         for q, grams in self.by_gram.items():
             hits: dict[int, list[int]] = defaultdict(list)
             for p, gram in enumerate(zip(*(coded[i:] for i in range(q)), strict=False)):
@@ -137,7 +142,7 @@ class Items:
                 # the windows that hold the need-th place of some stretch of places
                 for first, last in zip(places, places[need - 1 :], strict=False):
                     if last - first <= n - q:
-                        out[n].append((max(0, last + q - n), first))
+                        out[n].append((max(0, last + q - n), first, i))
         self.coded = np.array(coded, np.int64)
         return out
 
@@ -145,17 +150,33 @@ class Items:
         """(item_id, start, distance): for each item found its best window, the first of equals."""
         best: dict[int, tuple[int, int]] = {}
         for n, ranges in self.windows(words).items():
-            last = max(0, len(words) - n)
-            starts = np.unique(np.concatenate([np.arange(min(a, last), min(b, last) + 1) for a, b in ranges]))
-            size = min(n, len(words))
+            last, size = max(0, len(words) - n), min(n, len(words))
+            starts = np.unique(np.concatenate([np.arange(min(a, last), min(b, last) + 1) for a, b, _ in ranges]))
             for at in range(0, len(starts), 5000):
                 part = starts[at : at + 5000]
                 symbols = self.coded[part[:, None] + np.arange(size)]
-                for row, i, distance in self.verified(n, symbols):
-                    if distance < best.get(i, (n + 1, 0))[0]:
+                found = self.verified(n, symbols) if n in self.tables else self.compared(n, symbols, part, ranges)
+                for row, i, distance in found:
+                    if (distance, int(part[row])) < best.get(i, (n + 1, 0)):
                         best[i] = (distance, int(part[row]))
         return [(self.ids[i], start, distance) for i, (distance, start) in sorted(best.items())]
 
+    def compared(self, n: int, symbols: np.ndarray, starts: np.ndarray, ranges: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+        """What `verified` finds, from every window and the items that share enough grams with it."""
+        spans: dict[int, np.ndarray] = {}
+        for a, b, i in ranges:
+            low, high = np.searchsorted(starts, a), np.searchsorted(starts, b, "right")
+            # windows at the text's end stand for those that would reach beyond it
+            low = min(low, len(starts) - 1) if a > starts[-1] else low
+            spans.setdefault(i, np.zeros(len(starts), bool))[low : max(high, low + (a > starts[-1]))] = True
+        out = []
+        for i, mask in spans.items():
+            rows = np.flatnonzero(mask)
+            distance = edit_distances(symbols[rows], np.broadcast_to(np.array(self.words[i], np.int64), (len(rows), n)))
+            ok = distance <= self.distance[i]
+            out += [(row, i, d) for row, d in zip(rows[ok].tolist(), distance[ok].tolist(), strict=True)]
+        return out
+
     def verified(self, n: int, symbols: np.ndarray) -> list[tuple[int, int, int]]:
         walks, members, items, keys, order = self.tables[n]
         pairs = []
@@ -176,8 +197,8 @@ class Items:
         return out
 
 
-def _walks_needed(symbols: np.ndarray, k: int) -> Walks:
-    """Walks, doubled until items with k random edits collide with their original often enough."""
+def _walks_needed(symbols: np.ndarray, k: int, recall: float) -> Walks | None:
+    """Walks, doubled until items with k random edits collide with their original often enough; None if they never do."""
     n, rng = symbols.shape[1], np.random.default_rng(17)
     tests = symbols[rng.integers(0, len(symbols), 200)]
     edited = []
@@ -195,63 +216,102 @@ def _walks_needed(symbols: np.ndarray, k: int) -> Walks:
     edited = np.array(edited, np.int64).reshape(len(tests), n)
     near = edit_distances(tests, edited) <= k
     walks = 1
-    while True:
+    while walks <= MOST_WALKS:
         made = Walks(n, walks)
         hit = (made.keys(tests) == made.keys(edited)).any(axis=0)
-        if walks >= 64 or not near.any() or hit[near].mean() >= RECALL:
+        if not near.any() or hit[near].mean() >= recall:
             return made
         walks *= 2
+    return None
+
+
+def compiled(items: DataFrame, similarity: float) -> tuple[DataFrame, int]:
+    """block, compiled: the blocks of items, compiled in tasks; and how many blocks there may be."""
+    rows = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id IS NOT NULL AND text IS NOT NULL")
+    count, chars = rows.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    blocks, recall = max(-(-count // ITEMS_PER_SCAN), -(-chars // BLOCK_CHARS)), RECALL
+
+    def build(table: pa.Table) -> pa.Table:
+        import pickle
+
+        made = Items(sorted(zip(table["item_id"].to_pylist(), table["text"].to_pylist(), strict=True)), similarity, recall)
+        return pa.table({"block": pa.array([table["block"][0].as_py()], pa.int32()), "compiled": pa.array([pickle.dumps(made, protocol=5)], pa.binary())})
+
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, blocks))).cast("int"))
+    return store(dealt.groupBy("block").applyInArrow(build, "block int, compiled binary"), "items"), blocks
+
+
+class _Block:
+    """One compiled block on its way to the tasks, unpacked once per task."""
 
+    def __init__(self, spark: SparkSession, blocks: DataFrame, number: int):
+        row = blocks.where(F.col("block") == number).first()
+        self.shared = spark.sparkContext.broadcast(row.compiled) if row else None
 
-def _blocks(items: DataFrame, similarity: float) -> list[Items]:
-    """Compile the items in blocks; the benchmark itself is a query set of known size."""
-    rows = items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("item_id IS NOT NULL AND text IS NOT NULL").toLocalIterator()
-    blocks, held = [], []
-    for row in rows:
-        held.append(tuple(row))
-        if len(held) == ITEMS_PER_SCAN:
-            blocks.append(Items(held, similarity))
-            held = []
-    return [*blocks, Items(held, similarity)] if held else blocks
+    def items(self) -> Items:
+        import pickle
+
+        return pickle.loads(self.shared.value)
+
+
+def _scan(texts: DataFrame, block: _Block) -> DataFrame:
+    schema = pa.schema([
+        ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("item_id", pa.int64()), ("start", pa.int32()), ("distance", pa.int32()), ("similarity", pa.float64()),
+    ])
+
+    def scan(batches):
+        known, out = block.items(), Sink(schema)
+        sizes = dict(zip(known.ids, map(len, known.words), strict=True))
+        for batch in batches:
+            for doc_id, text_hash, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                for item_id, start, distance in known.find(words_of(text.as_py())):
+                    out.add(doc_id, text_hash, item_id, start, distance, 1 - distance / sizes[item_id])
+            if out.full():
+                yield out.take()
+        yield out.take()
+
+    return texts.mapInArrow(scan, "doc_id long, text_hash long, item_id long, start int, distance int, similarity double")
+
+
+def _find(docs: DataFrame, blocks: DataFrame, count: int) -> DataFrame:
+    spark, text = docs.sparkSession, F.col("text").cast("string")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    found = None
+    for number in range(count):
+        block = _Block(spark, blocks, number)
+        if block.shared is None:
+            continue
+        part = _scan(texts, block)
+        if count > 1:
+            part = store(part, "found")
+            block.shared.destroy()
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        return spark.createDataFrame([], "doc_id long, text_hash long, item_id long, start int, distance int, similarity double")
+    return found
 
 
 def find(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, item_id, start, distance, similarity of each item found in each document."""
-    schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("start", pa.int32()), ("distance", pa.int32()), ("similarity", pa.float64())])
-    kind = "doc_id long, item_id long, start int, distance int, similarity double"
-    spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = spark.createDataFrame([], kind)
-    for block in _blocks(items, similarity):
-        shared = spark.sparkContext.broadcast(block)
-
-        def scan(batches, shared=shared):
-            known, out = shared.value, Sink(schema)
-            sizes = dict(zip(known.ids, map(len, known.words), strict=True))
-            for batch in batches:
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    for item_id, start, distance in known.find(words_of(text.as_py())):
-                        out.add(doc_id, item_id, start, distance, 1 - distance / sizes[item_id])
-                if out.full():
-                    yield out.take()
-            yield out.take()
-
-        found = found.unionByName(texts.mapInArrow(scan, kind))
-    return found
+    return _find(docs, *compiled(items, similarity)).drop("text_hash")
 
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The documents in which no item is found, with all their columns."""
-    at = docs.columns.index("text")
-    for block in _blocks(items, similarity):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
-
-        def scan(batches, shared=shared):
-            for batch in batches:
-                yield batch.filter(pa.array([not shared.value.find(words_of(t.as_py())) for t in batch.column(at)], pa.bool_()))
-
-        docs = docs.mapInArrow(scan, docs.schema)
-    return docs
+    blocks, count = compiled(items, similarity)
+    if count != 1:  # none, or several: rows found by any scan go at the end
+        gone = _find(docs, blocks, count).select("doc_id", "text_hash").distinct()
+        rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+        same = F.col("row.doc_id").cast("long").eqNullSafe(F.col("doc_id")) & (F.xxhash64(F.col("row.text").cast("string")) == F.col("text_hash"))
+        return rows.join(store(gone, "gone").hint("merge"), same, "left_anti").select("row.*")
+    at, block = docs.columns.index("text"), _Block(docs.sparkSession, blocks, 0)
+
+    def scan(batches):
+        known = block.items()
+        for batch in batches:
+            yield batch.filter(pa.array([not known.find(words_of(t.as_py())) for t in batch.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(scan, docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
