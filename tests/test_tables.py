@@ -196,6 +196,32 @@ def test_direct_outcomes_are_a_partition(spark):
         annotate_directly(rows, table, plan, RUN)
 
 
+def test_replies_nobody_asked_for_fail_no_attempt(spark):
+    """Objects 0 and 2 fall to the box filter; "c" is generated; review drops the object of "d" before it is classified."""
+    two = json.dumps({"boxes": [json.loads(REPLY)["boxes"][1] | {"label": kind, "bbox": [10, 10, 40, 70]} for kind in ("person", "pipe")]})
+    ids = ["a", "b", "c", "d", "e", "f", "g"]
+    rows = manifest_rows(spark, *ids).withColumn("source_type", F.when(F.col("sample_id") == "c", "generated").otherwise(F.col("source_type")))
+    said = [(i, n, two if i == "g" else REPLY) for i in ids for n in (1, 2)]
+    table = spark.createDataFrame([(*r, None, None) for r in said], REPLY_SCHEMA)
+    good, gone, bad = '{"contains_person": true, "is_complete_visible_person": true}', '{"contains_person": false}', "busy {"
+    reviews = [("a", 1, 1, good), ("a", 1, 0, bad), ("a", 1, 2, bad), ("b", 1, 1, bad), ("b", 2, 1, good), ("c", 1, 1, good), ("d", 1, 1, gone), ("e", 1, 1, good), ("e", 2, 1, good), ("f", 1, 1, bad), ("f", 2, 1, bad), ("g", 1, 0, good), ("g", 1, 1, bad), ("g", 1, None, bad)]
+    answer = '{"hard_hat": true}'
+    answers = [("a", 1, 1, answer), ("a", 1, 0, bad), ("b", 1, 1, answer), ("b", 2, 1, answer), ("c", 1, 1, bad), ("d", 1, 1, bad), ("e", 1, 1, bad), ("e", 2, 1, answer), ("f", 1, 1, answer), ("g", 1, 0, answer), ("g", 1, 1, answer)]
+    kind = "sample_id string, attempt int, pos int, raw_text string"
+    plan = dataclasses.replace(PLAN, services={"ppe_person": BoxService(object_type_map={"person": "person", "pipe": "pipe"})}, review=ReviewPolicy(drop_failed=True), max_attempts=2)
+    frames = spark.createDataFrame(reviews, kind), spark.createDataFrame(answers, kind)
+    result = annotate_directly(rows, table, plan, RUN, reviews=frames[0], answers=frames[1])
+    written = {r.sample_id: len(r.objects) for r in result.samples.collect()}
+    assert written == {"a": 1, "b": 1, "c": 1, "d": 0, "e": 1, "g": 2}
+    assert [r.sample_id for r in result.exhausted.collect()] == ["f"]
+    from boxloom.plans.direct import failed_requests
+
+    failed = failed_requests(rows.withColumn("task_key", F.lit("ppe_person")), table, *frames, plan, RUN)
+    assert sorted(map(tuple, failed.collect())) == [("b", 1, False), ("e", 1, False), ("f", 1, False), ("f", 2, False)]
+    fine = [f.filter("raw_text <> 'busy {'") for f in frames]
+    assert failed_requests(rows.withColumn("task_key", F.lit("ppe_person")), table, *fine, plan, RUN) is None
+
+
 def test_direct_result_is_the_same_for_any_part_size(spark):
     """One image, one document and one task, with the same objects, order and notes."""
     boxes_said = [{"object_id": f"o{i}", "label": "person", "bbox": [i, 1, i + 10, 20], "score": 0.9} for i in range(7)]
