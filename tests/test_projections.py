@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from boxloom.functions import masks
 from boxloom.operators import coco, taxonomy
-from boxloom.operators.ranking import dense_ids
+from boxloom.operators.ranking import dense_ids, numbered
 
 
 def encode(runs):
@@ -139,3 +139,24 @@ def test_taxonomy(spark, tmp_path):
     assert {r.n_objects for r in counted.collect()} == {2}
     nothing = taxonomy.constraints(spark.createDataFrame([("oops",), (None,)], "text string"))
     assert nothing.count() == 0
+
+
+def test_numbered_over_partitions(spark):
+    """Keys that span partitions, nulls, batches that end inside a run, and no key at all."""
+    rng = random.Random(4)
+    rows = [(rng.choice([None, "a", "a", "a", "b", "c"]), rng.choice([None, 1, 2]), k) for k in rng.sample(range(10**6), 3000)]
+    frame = spark.createDataFrame(rows, "s string, g int, k long").repartition(5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        for keys in (["s"], ["s", "g"], []):
+            got = {r.k: r.n for r in numbered(frame, keys, ["k"], "n").collect()}
+            groups = {}
+            for s, g, k in rows:
+                groups.setdefault(tuple({"s": s, "g": g}[c] for c in keys), []).append(k)
+            assert got == {k: n for ks in groups.values() for n, k in enumerate(sorted(ks), 1)}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert numbered(frame.filter("false"), ["s"], ["k"], "n").count() == 0
+    nested = frame.selectExpr("named_struct('s', s, 'g', g) AS key", "k")
+    first = numbered(nested, ["key"], ["k"], "n").groupBy("key").agg(F.max("n").alias("n"), F.count("*").alias("c")).collect()
+    assert len(first) > 5 and all(r.n == r.c for r in first)
