@@ -128,22 +128,23 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     assert got == want
 
 
-@pytest.mark.parametrize("clash", ["packed", "keys", "kept", "n_lines", "n_dropped", "key", "row", "point", "text_hash", "component_id", "first", "score", "shard"])
-def test_stages_with_clashing_names(spark, tmp_path, clash):
-    """Every stage but the last keeps the columns of its input, whatever they are called."""
-    if not hasattr(test_stages_with_clashing_names, "folder"):
-        texts = [(1, None), (2, ""), (3, "a shared line of more than twenty letters\nown"), (4, "a shared line of more than twenty letters"), (5, "A shared line of more than twenty letters "), (5, "other text"), (5, "other text")]
-        rows = [(i, t, "en", "s", len(t or "")) for i, t in texts]
-        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-        labels, bench = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int"), spark.createDataFrame([(1, "not here")], "item_id long, text string")
-        test_stages_with_clashing_names.folder = tables(tmp_path, documents=docs, labels=labels, benchmark=bench)
-    folder = test_stages_with_clashing_names.folder
-    docs = spark.read.parquet(f"{folder}/documents.parquet").withColumn(clash, F.col("doc_id") + 100)
-    stages = corpus_pipeline.STAGES[1:3] if clash not in ("key", "score") else corpus_pipeline.STAGES[:-1]
-    for _, stage in stages:
+CLASHING = ["packed", "keys", "kept", "n_lines", "n_dropped", "key", "row", "point", "text_hash", "component_id", "first", "score", "shard", "item_id", "block"]
+
+
+def test_stages_with_clashing_names_and_odd_rows(spark, tmp_path):
+    """Every stage but the last keeps the columns of its input, whatever they are called; nulls, repeated rows, empty tables."""
+    texts = [(1, None), (2, ""), (3, "a shared line of more than twenty letters\nown"), (4, "a shared line of more than twenty letters"), (5, "A shared line of more than twenty letters "), (5, "other text"), (5, "other text"), (6, "long " * 30_000)]
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in texts]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    labels, bench = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int"), spark.createDataFrame([(1, "not here")], "item_id long, text string")
+    folder = tables(tmp_path, documents=docs, labels=labels, benchmark=bench)
+    docs = docs.withColumns({name: F.col("doc_id") + 100 for name in CLASHING})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
         after = stage(spark, docs, folder)
         assert after.schema.simpleString() == docs.schema.simpleString()
-        assert all(r[clash] == r.doc_id + 100 for r in after.collect()) and stage(spark, docs.where("false"), folder).count() == 0
+        left = after.collect()
+        assert left and all(r[name] == r.doc_id + 100 for r in left for name in CLASHING)
+        assert stage(spark, docs.where("false"), folder).count() == 0
 
 
 def test_near_copies_judges_rows_that_repeat_an_id(spark):

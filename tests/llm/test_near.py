@@ -128,15 +128,15 @@ def test_graphs_answer_on_the_given_vectors(spark):
 
 def test_vectors_with_clashing_names(spark):
     rows = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0, 2.1])], "vec_id long, embedding array<float>")
-    for name in ("vector", "size", "shard", "salt", "role", "copies", "node", "links", "usable"):
-        got = hnsw.near_duplicates(rows.selectExpr("*", f"'x' AS {name}")).collect()
-        assert sorted(tuple(r) for r in got) == [(1, 1, 1, True), (2, 1, 1, False)]
+    names = [f"'x' AS {name}" for name in ("vector", "size", "shard", "salt", "role", "copies", "node", "links", "usable")]
+    got = hnsw.near_duplicates(rows.selectExpr("*", *names)).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 1, 1, True), (2, 1, 1, False)]
 
 
 def test_simhash_odd_rows(spark):
     """Nulls, ties and repeated rows, long and empty texts, and names that the operator uses itself."""
     rows = [(3, None), (1, ""), (2, " \n"), (7, "a b"), (7, "a b"), (5, "A  B"), (9, "x " * 40_000), (8, "other words here")]
     want = {3: 1, 1: 1, 2: 1, 7: 5, 5: 5, 9: 9, 8: 8}
-    for name in ("fp", "first", "point", "shard", "component", "node"):
-        got = simhash.near_duplicates(frame(spark, rows).selectExpr("*", f"doc_id AS {name}")).collect()
-        assert len(got) == len(rows) and {r.doc_id: r.component_id for r in got} == want
+    names = [f"doc_id AS {name}" for name in ("fp", "first", "point", "shard", "component", "node")]
+    got = simhash.near_duplicates(frame(spark, rows).selectExpr("*", *names)).collect()
+    assert len(got) == len(rows) and {r.doc_id: r.component_id for r in got} == want
