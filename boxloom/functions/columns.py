@@ -97,6 +97,10 @@ def is_object(variant: Column) -> Column:
     return F.try_variant_get(variant, "$", "struct<`-`:variant>").isNotNull()
 
 
+def is_array(variant: Column) -> Column:
+    return F.try_variant_get(variant, "$", "array<struct<`-`:variant>>").isNotNull()
+
+
 def is_boolean(variant: Column) -> Column:
     return F.coalesce(kind_of(variant) == "BOOLEAN", F.lit(False))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -10,15 +11,15 @@ from pyspark.sql import functions as F
 from boxloom import schema, vocab
 from boxloom.functions.columns import (
     bind,
+    is_array,
     is_boolean,
     is_explicit_null,
     is_object,
-    item,
     items_of,
     kind_of,
     let,
+    members,
     null,
-    read,
     text_of,
 )
 from boxloom.operators.samples import export_struct, qc_policy_struct
@@ -29,124 +30,138 @@ FINDING = "struct<path:string,rule:string,detail:string>"
 
 
 # --- defaults ---------------------------------------------------------------------------------------
+#
+# Every object of a document is taken apart once (`members`); the functions below read from that struct.
 
 
-def _text(parent: Column, name: str) -> Column:
-    return text_of(item(parent, name))
+def _opened(value: Column, fields: Iterable[str], build: Callable[[Column], Column]) -> Column:
+    """`build` on the members of an object, a struct of VARIANTs that is null when `value` is no object."""
+    return let(members(value, *fields), build)
 
 
-def _flag(parent: Column, name: str) -> Column:
-    value = item(parent, name)
+def _text(held: Column, name: str) -> Column:
+    return text_of(held.getField(name))
+
+
+def _cast(held: Column, kind: str, name: str) -> Column:
+    return F.try_variant_get(held.getField(name), "$", kind).alias(name)
+
+
+def _flag(held: Column, name: str) -> Column:
+    value = held.getField(name)
     return F.when(is_boolean(value), F.try_variant_get(value, "$", "boolean"))
 
 
-def _default(parent: Column, name: str, value: Column, default: Column) -> Column:
+def _default(held: Column, name: str, value: Column, default: Column) -> Column:
     """`default` only when the key is absent; an explicit null stays null."""
-    return F.when(item(parent, name).isNull(), default).otherwise(value)
+    return F.when(held.getField(name).isNull(), default).otherwise(value)
 
 
-def _texts(parent: Column, names: list[str]) -> list[Column]:
-    return [_text(parent, name).alias(name) for name in names]
+def _texts(held: Column, names: list[str]) -> list[Column]:
+    return [_text(held, name).alias(name) for name in names]
 
 
-def _open_object(parent: Column, name: str) -> Column:
-    value = item(parent, name)
-    return F.when(~is_explicit_null(value), value)
+def _open_object(held: Column, name: str) -> Column:
+    value = held.getField(name)
+    return F.when(~is_explicit_null(value), value).alias(name)
 
 
-def _overlay(parent: Column, name: str, build) -> Column:
+def _overlay(held: Column, name: str, fields: Iterable[str], build: Callable[[Column], Column]) -> Column:
     """Struct over all-null defaults: null stays null, anything that is no object yields the defaults."""
-    return let(item(parent, name), lambda v: F.when(~is_explicit_null(v), build(v)))
+    value = held.getField(name)
+    return F.when(~is_explicit_null(value), _opened(value, fields, build)).alias(name)
+
+
+def _if_object(value: Column, fields: Iterable[str], build: Callable[[Column], Column]) -> Column:
+    """Struct of an object; anything else gives null."""
+    return _opened(value, fields, lambda held: F.when(held.isNotNull(), build(held)))
 
 
-def _member_object(parent: Column, name: str, build) -> Column:
+def _member_object(held: Column, name: str, fields: Iterable[str], build: Callable[[Column], Column]) -> Column:
     """Struct of a required object: absent counts as {}, null or another type gives null."""
-    given = F.coalesce(item(parent, name), F.parse_json(F.lit("{}")))
-    return let(given, lambda v: F.when(is_object(v), build(v)))
+    value = held.getField(name)
+    return _opened(
+        value, fields, lambda inner: F.when(inner.isNotNull() | value.isNull(), build(inner))
+    ).alias(name)
 
 
 def _box(value: Column) -> Column:
-    corners = [read(value, "int", name).alias(name) for name in ("x1", "y1", "x2", "y2")]
-    return F.when(is_object(value), F.struct(_text(value, "format").alias("format"), *corners))
+    corners = ("x1", "y1", "x2", "y2")
+    return _if_object(
+        value, BOX_FIELDS, lambda v: F.struct(_text(v, "format").alias("format"), *[_cast(v, "int", name) for name in corners])
+    )
 
 
 def _label(value: Column) -> Column:
-    return F.when(
-        is_object(value),
-        F.struct(
-            *_texts(value, ["label_key", "label_value"]),
-            read(value, "double", "confidence").alias("confidence"),
-            _text(value, "evidence").alias("evidence"),
+    return _if_object(
+        value,
+        LABEL_FIELDS,
+        lambda v: F.struct(
+            *_texts(v, ["label_key", "label_value"]), _cast(v, "double", "confidence"), _text(v, "evidence").alias("evidence")
         ),
     )
 
 
-def _crop(value: Column, object_id: Column) -> Column:
+def _crop(held: Column, object_id: Column) -> Column:
     own_id = F.concat(F.coalesce(object_id, F.lit("object")), F.lit("_crop"))
     return F.struct(
-        _default(value, "crop_id", _text(value, "crop_id"), own_id).alias("crop_id"),
-        _default(value, "crop_uri", _text(value, "crop_uri"), F.lit("")).alias("crop_uri"),
-        _box(item(value, "crop_box")).alias("crop_box"),
-        read(value, "double", "crop_expand_ratio").alias("crop_expand_ratio"),
-        _default(value, "is_valid_crop", _flag(value, "is_valid_crop"), F.lit(True)).alias("is_valid_crop"),
+        _default(held, "crop_id", _text(held, "crop_id"), own_id).alias("crop_id"),
+        _default(held, "crop_uri", _text(held, "crop_uri"), F.lit("")).alias("crop_uri"),
+        _box(held.getField("crop_box")).alias("crop_box"),
+        _cast(held, "double", "crop_expand_ratio"),
+        _default(held, "is_valid_crop", _flag(held, "is_valid_crop"), F.lit(True)).alias("is_valid_crop"),
     )
 
 
-def _classification(value: Column) -> Column:
-    labels = F.transform(items_of(item(value, "multi_labels")), _label)
+def _classification(held: Column) -> Column:
+    labels = F.transform(items_of(held.getField("multi_labels")), _label)
     no_labels = F.array().cast(schema.CLASSIFICATION["multi_labels"].dataType)
     return F.struct(
-        _default(value, "multi_labels", labels, no_labels).alias("multi_labels"),
-        _default(value, "classifier_type", _text(value, "classifier_type"), F.lit("vlm")).alias("classifier_type"),
-        *_texts(value, ["classifier_name", "classifier_version", "prompt_version"]),
-        _open_object(value, "raw_response").alias("raw_response"),
+        _default(held, "multi_labels", labels, no_labels).alias("multi_labels"),
+        _default(held, "classifier_type", _text(held, "classifier_type"), F.lit("vlm")).alias("classifier_type"),
+        *_texts(held, ["classifier_name", "classifier_version", "prompt_version"]),
+        _open_object(held, "raw_response"),
     )
 
 
-def _quality_check(value: Column) -> Column:
+def _quality_check(held: Column) -> Column:
+    names = list(REVIEWED_LABEL_FIELDS)
     reviewed = F.transform(
-        items_of(item(value, "reviewed_labels")), lambda v: F.struct(*_texts(v, ["label_key", "label_value"]))
+        items_of(held.getField("reviewed_labels")), lambda v: _opened(v, names, lambda label: F.struct(*_texts(label, names)))
     )
     return F.struct(
-        _flag(value, "qc_sampled").alias("qc_sampled"),
-        _text(value, "qc_status").alias("qc_status"),
+        _flag(held, "qc_sampled").alias("qc_sampled"),
+        _text(held, "qc_status").alias("qc_status"),
         reviewed.alias("reviewed_labels"),
-        read(value, "array<string>", "issue_flags").alias("issue_flags"),
-        *_texts(value, ["reviewer", "review_time", "comment"]),
+        _cast(held, "array<string>", "issue_flags"),
+        *_texts(held, ["reviewer", "review_time", "comment"]),
     )
 
 
 def _object(value: Column) -> Column:
-    def build(obj: Column) -> Column:
+    def model(held: Column) -> Column:
+        return F.struct(*_texts(held, ["model_name", "model_version"]), _cast(held, "double", "confidence"))
+
+    def detail(held: Column) -> Column:
         return F.struct(
-            *_texts(obj, ["object_id", "object_type"]),
-            _box(item(obj, "box")).alias("box"),
-            _text(obj, "geometry_source").alias("geometry_source"),
-            let(
-                item(obj, "geometry_model"),
-                lambda v: F.when(
-                    is_object(v),
-                    F.struct(
-                        *_texts(v, ["model_name", "model_version"]),
-                        read(v, "double", "confidence").alias("confidence"),
-                    ),
-                ),
-            ).alias("geometry_model"),
-            _overlay(
-                obj,
-                "geometry_detail",
-                lambda v: F.struct(
-                    read(v, "array<array<double>>", "polygon").alias("polygon"),
-                    *_texts(v, ["mask_uri", "mask_format"]),
-                    _open_object(v, "generation_params").alias("generation_params"),
-                ),
-            ).alias("geometry_detail"),
-            _member_object(obj, "crop", lambda v: _crop(v, _text(obj, "object_id"))).alias("crop"),
-            _member_object(obj, "classification", _classification).alias("classification"),
-            let(item(obj, "quality_check"), lambda v: F.when(is_object(v), _quality_check(v))).alias("quality_check"),
+            _cast(held, "array<array<double>>", "polygon"),
+            *_texts(held, ["mask_uri", "mask_format"]),
+            _open_object(held, "generation_params"),
+        )
+
+    def build(held: Column) -> Column:
+        return F.struct(
+            *_texts(held, ["object_id", "object_type"]),
+            _box(held.getField("box")).alias("box"),
+            _text(held, "geometry_source").alias("geometry_source"),
+            _if_object(held.getField("geometry_model"), GEOMETRY_MODEL_FIELDS, model).alias("geometry_model"),
+            _overlay(held, "geometry_detail", GEOMETRY_DETAIL_FIELDS, detail),
+            _member_object(held, "crop", CROP_FIELDS, lambda v: _crop(v, _text(held, "object_id"))),
+            _member_object(held, "classification", CLASSIFICATION_FIELDS, _classification),
+            _if_object(held.getField("quality_check"), QUALITY_CHECK_FIELDS, _quality_check).alias("quality_check"),
         ).cast(schema.OBJECT)
 
-    return F.when(is_object(value), build(value))
+    return _if_object(value, OBJECT_FIELDS, build)
 
 
 def normalize_documents(documents: DataFrame, run: Run, raw: str = "raw_json") -> DataFrame:
@@ -155,27 +170,25 @@ def normalize_documents(documents: DataFrame, run: Run, raw: str = "raw_json") -
     Keeps the input columns and adds `is_object`, whether the text is a JSON object at all. Keys outside
     the schema are dropped here and reported by `schema_findings`.
     """
-    parsed = bind(documents, {"_doc": F.try_parse_json(raw)}).withColumn(
-        "is_object", F.col("_doc").isNotNull() & (F.left(F.ltrim(F.col(raw)), F.lit(1)) == "{")
+    parsed = bind(documents, {"_held": members(F.try_parse_json(raw), *DOCUMENT_FIELDS)}).withColumn(
+        "is_object", F.col("_held").isNotNull() & (F.left(F.ltrim(F.col(raw)), F.lit(1)) == "{")
     )
-    doc = F.col("_doc")
-    empty_context = F.parse_json(F.lit("{}"))
+    doc = F.col("_held")
 
     def context(asset: Column, name: str, fields: list[str]) -> Column:
-        value = F.coalesce(item(asset, name), empty_context)
-        return let(value, lambda v: F.when(~is_explicit_null(v), F.struct(*_texts(v, fields))))
+        return _overlay(asset, name, fields, lambda v: F.struct(*_texts(v, fields)))
 
     def image_asset(asset: Column) -> Column:
         return F.struct(
             *_texts(asset, ["image_id", "image_uri"]),
-            read(asset, "int", "width").alias("width"),
-            read(asset, "int", "height").alias("height"),
+            _cast(asset, "int", "width"),
+            _cast(asset, "int", "height"),
             _text(asset, "source_type").alias("source_type"),
-            context(asset, "source_context", vocab.SOURCE_CONTEXT_FIELDS).alias("source_context"),
-            context(asset, "scene_context", vocab.SCENE_CONTEXT_FIELDS).alias("scene_context"),
+            context(asset, "source_context", vocab.SOURCE_CONTEXT_FIELDS),
+            context(asset, "scene_context", vocab.SCENE_CONTEXT_FIELDS),
         )
 
-    def workflow(value: Column) -> Column:
+    def workflow(held: Column) -> Column:
         defaults = {
             "workflow_status": F.lit("raw"),
             "pipeline_id": F.lit(run.pipeline_id).cast("string"),
@@ -183,47 +196,45 @@ def normalize_documents(documents: DataFrame, run: Run, raw: str = "raw_json") -
             "created_time": F.lit(run.now),
             "updated_time": F.lit(run.now),
         }
-        return F.struct(
-            *[_default(value, name, _text(value, name), default).alias(name) for name, default in defaults.items()]
-        )
+        return F.struct(*[_default(held, name, _text(held, name), default).alias(name) for name, default in defaults.items()])
 
-    def export(value: Column) -> Column:
+    def export(held: Column) -> Column:
         defaults = export_struct(run.export)
         names = ["export_format", "export_status", "export_uri"]
         return F.struct(
-            *[_default(value, n, _text(value, n), defaults.getField(n)).alias(n) for n in names],
-            _open_object(value, "labelstudio_mapping").alias("labelstudio_mapping"),
+            *[_default(held, n, _text(held, n), defaults.getField(n)).alias(n) for n in names],
+            _open_object(held, "labelstudio_mapping"),
         )
 
-    def qc_policy(value: Column) -> Column:
+    def qc_policy(held: Column) -> Column:
         return F.struct(
-            _text(value, "qc_mode").alias("qc_mode"),
-            read(value, "double", "sampling_ratio").alias("sampling_ratio"),
-            *_texts(value, ["sampling_method", "fail_policy", "qc_batch_id"]),
+            _text(held, "qc_mode").alias("qc_mode"),
+            _cast(held, "double", "sampling_ratio"),
+            *_texts(held, ["sampling_method", "fail_policy", "qc_batch_id"]),
         )
 
     objects = _default(
         doc,
         "objects",
-        F.transform(items_of(item(doc, "objects")), lambda v: let(v, _object)),
+        F.transform(items_of(doc.getField("objects")), _object),
         F.array().cast(schema.SAMPLE["objects"].dataType),
     )
     policy = (
         qc_policy_struct(run.qc_policy)
         if run.qc_policy is not None
-        else let(item(doc, "qc_policy"), lambda v: F.when(is_object(v), qc_policy(v)))
+        else _if_object(doc.getField("qc_policy"), QC_POLICY_FIELDS, qc_policy)
     )
     # already typed input columns of the same name would be ambiguous downstream
     kept = [name for name in documents.columns if name not in schema.SAMPLE.fieldNames()]
     normalized = {
         "sample_id": _text(doc, "sample_id"),
-        "image_asset": _member_object(doc, "image_asset", image_asset).cast(schema.IMAGE_ASSET),
+        "image_asset": _member_object(doc, "image_asset", IMAGE_ASSET_FIELDS, image_asset).cast(schema.IMAGE_ASSET),
         "objects": objects,
         "qc_policy": policy.cast(schema.QC_POLICY),
-        "workflow": _member_object(doc, "workflow", workflow).cast(schema.WORKFLOW),
-        "export": _member_object(doc, "export", export).cast(schema.EXPORT),
+        "workflow": _member_object(doc, "workflow", WORKFLOW_FIELDS, workflow).cast(schema.WORKFLOW),
+        "export": _member_object(doc, "export", EXPORT_FIELDS, export).cast(schema.EXPORT),
     }
-    return bind(parsed.select(*kept, "is_object", "_doc"), normalized).drop("_doc")
+    return bind(parsed.select(*kept, "is_object", "_held"), normalized).drop("_held")
 
 
 # --- contract rules ---------------------------------------------------------------------------------
@@ -596,139 +607,130 @@ def _finding(broken: Column, path: Column, rule: str, detail: Column) -> Column:
     )
 
 
-def _is_kind(kind: Column, value: Column, wanted: str) -> Column:
-    numeric = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+def _is_kind(value: Column, wanted: str) -> Column:
+    """Whether a value is of a JSON kind; objects and arrays are told without writing out their schema."""
     if wanted == "object":
-        return kind.startswith("OBJECT<")
+        return is_object(value)
     if wanted == "array":
-        return kind.startswith("ARRAY<")
-    if wanted == "integer":
-        number = F.try_variant_get(value, "$", "double")
-        return numeric & (number == F.rint(number))
-    return numeric if wanted == "number" else kind == {"string": "STRING", "boolean": "BOOLEAN"}[wanted]
+        return is_array(value)
+    kind = kind_of(value)
+    if wanted in ("string", "boolean"):
+        return kind == {"string": "STRING", "boolean": "BOOLEAN"}[wanted]
+    numeric = let(kind, lambda k: k.isin("BIGINT", "DOUBLE", "FLOAT") | k.startswith("DECIMAL"))
+    number = F.try_variant_get(value, "$", "double")
+    return numeric if wanted == "number" else F.when(numeric, number == F.rint(number)).otherwise(F.lit(False))
 
 
-def _field_findings(parent: Column, name: str, rules: Field, prefix: Column) -> Column:
+def _field_finding(value: Column, name: str, rules: Field, prefix: Column) -> Column:
+    """The finding on one key, null if it is as it should be: missing, else its kind, else the first bound it breaks."""
     path = F.concat(prefix, F.lit(name))
-
-    def check(value: Column) -> Column:
-        kind = kind_of(value)
-        text, number = F.try_variant_get(value, "$", "string"), F.try_variant_get(value, "$", "double")
-        fits = _is_kind(kind, value, rules.kind)
-        wrong = ~fits if not rules.nullable else ~fits & (kind != "VOID")
-        found = [_finding(value.isNotNull() & wrong, path, "type", kind)]
-        if rules.required:
-            found.append(_finding(value.isNull(), path, "required", F.lit(None)))
-        if rules.minimum is not None:
-            found.append(_finding(fits & (number < rules.minimum), path, "minimum", text))
-        if rules.maximum is not None:
-            found.append(_finding(fits & (number > rules.maximum), path, "maximum", text))
-        if rules.choices is not None:
-            found.append(_finding(fits & ~text.isin(rules.choices), path, "enum", text))
-        if rules.min_length:
-            found.append(_finding(fits & (F.length(text) < rules.min_length), path, "minLength", text))
-        if rules.is_time:
-            found.append(_finding(fits & ~text.rlike(ISO_TIME), path, "format", text))
-        return _listed(*found)
-
-    return let(item(parent, name), check)
-
-
-def _object_findings(value: Column, fields: dict[str, Field], prefix: Column, *nested: Column) -> Column:
-    """Findings on one object; nothing when it is absent, null or no object."""
-    names = F.map_keys(F.try_variant_get(value, "$", "map<string,variant>"))
-    unknown = F.transform(
-        F.array_sort(F.array_except(names, F.array(*[F.lit(name) for name in fields]))),
-        lambda key: F.struct(
-            F.concat(prefix, key).alias("path"),
-            F.lit("additionalProperties").alias("rule"),
-            null("string").alias("detail"),
-        ),
-    )
-    own = [_field_findings(value, name, rules, prefix) for name, rules in fields.items()]
+    text, number = F.try_variant_get(value, "$", "string"), F.try_variant_get(value, "$", "double")
+    bounds = []
+    if rules.minimum is not None:
+        bounds.append(_finding(number < rules.minimum, path, "minimum", text))
+    if rules.maximum is not None:
+        bounds.append(_finding(number > rules.maximum, path, "maximum", text))
+    if rules.choices is not None:
+        bounds.append(_finding(~text.isin(rules.choices), path, "enum", text))
+    if rules.min_length:
+        bounds.append(_finding(F.length(text) < rules.min_length, path, "minLength", text))
+    if rules.is_time:
+        bounds.append(_finding(~text.rlike(ISO_TIME), path, "format", text))
+    nothing = null(FINDING)
+    missing = _finding(F.lit(True), path, "required", F.lit(None)) if rules.required else nothing
+    wrong = _finding(F.lit(True), path, "type", kind_of(value))
+    if rules.nullable:
+        wrong = F.when(~is_explicit_null(value), wrong)
+    fits = F.coalesce(*bounds) if bounds else nothing
+    return F.when(value.isNull(), missing).when(_is_kind(value, rules.kind), fits).otherwise(wrong)
+
+
+def _object_findings(value: Column, fields: dict[str, Field], prefix: Column, *nested: Callable[[Column], Column]) -> Column:
+    """Findings on one object; nothing when it is absent, null or no object.
+
+    `nested` give the findings below it from its members, which are taken apart once.
+    """
     nothing = F.array().cast(f"array<{FINDING}>")
-    return F.when(is_object(value), F.concat(unknown, *own, *[F.coalesce(part, nothing) for part in nested])).otherwise(
-        nothing
-    )
+
+    def inspect(held: Column) -> Column:
+        # values are not needed for names, and this type leaves them unread
+        names = F.map_keys(F.try_variant_get(value, "$", "map<string,struct<`-`:variant>>"))
+        unknown = F.transform(
+            F.array_sort(F.array_except(names, F.array(*[F.lit(name) for name in fields]))),
+            lambda key: F.struct(
+                F.concat(prefix, key).alias("path"),
+                F.lit("additionalProperties").alias("rule"),
+                null("string").alias("detail"),
+            ),
+        )
+        own = _listed(*[_field_finding(held.getField(name), name, rules, prefix) for name, rules in fields.items()])
+        below = [F.coalesce(part(held), nothing) for part in nested]
+        return F.when(held.isNotNull(), F.concat(unknown, own, *below)).otherwise(nothing)
+
+    return _opened(value, fields, inspect)
 
 
 def _each(array: Column, check) -> Column:
     return F.flatten(F.transform(items_of(array), check))
 
 
-def _label_list(parent: Column, name: str, fields: dict[str, Field], prefix: Column) -> Column:
-    return _each(
-        item(parent, name),
-        lambda v, j: _object_findings(v, fields, F.concat(prefix, F.lit(f"{name}["), j.cast("string"), F.lit("]."))),
-    )
+def _labels(name: str, fields: dict[str, Field], prefix: Column) -> Callable[[Column], Column]:
+    def check(value: Column, j: Column) -> Column:
+        return _object_findings(value, fields, F.concat(prefix, F.lit(f"{name}["), j.cast("string"), F.lit("].")))
 
+    return lambda held: _each(held.getField(name), check)
 
-def _polygon_findings(detail: Column, prefix: Column) -> Column:
+
+def _polygon(prefix: Column) -> Callable[[Column], Column]:
     def check(point: Column, j: Column) -> Column:
         numbers = F.try_variant_get(point, "$", "array<double>")
         holds = (F.size(numbers) == 2) & ~F.exists(numbers, lambda n: n.isNull())
         path = F.concat(prefix, F.lit("polygon["), j.cast("string"), F.lit("]"))
         return _listed(_finding(~F.coalesce(holds, F.lit(False)), path, "items", F.to_json(point)))
 
-    return _each(item(detail, "polygon"), check)
+    return lambda held: _each(held.getField("polygon"), check)
 
 
-def _document_object_findings(obj: Column, i: Column) -> Column:
-    prefix = F.concat(F.lit("objects["), i.cast("string"), F.lit("]."))
+def _under(name: str, fields: dict[str, Field], prefix: Column, *below: Callable[[Column], Callable[[Column], Column]]) -> Callable[[Column], Column]:
+    """Findings on the member `name`; each of `below` takes the member's prefix and gives a check of its members."""
+    inner = F.concat(prefix, F.lit(f"{name}."))
+    return lambda held: _object_findings(held.getField(name), fields, inner, *[part(inner) for part in below])
 
-    def under(name: str, fields: dict[str, Field], *extra) -> Column:
-        inner = F.concat(prefix, F.lit(f"{name}."))
-        return let(
-            item(obj, name), lambda v: _object_findings(v, fields, inner, *[build(v, inner) for build in extra])
-        )
 
-    def crop_box(crop: Column, inner: Column) -> Column:
-        return _object_findings(item(crop, "crop_box"), BOX_FIELDS, F.concat(inner, F.lit("crop_box.")))
-
-    parts = [
-        under("box", BOX_FIELDS),
-        under("geometry_model", GEOMETRY_MODEL_FIELDS),
-        under("geometry_detail", GEOMETRY_DETAIL_FIELDS, _polygon_findings),
-        under("crop", CROP_FIELDS, crop_box),
-        under(
-            "classification",
-            CLASSIFICATION_FIELDS,
-            lambda v, inner: _label_list(v, "multi_labels", LABEL_FIELDS, inner),
-        ),
-        under(
-            "quality_check",
-            QUALITY_CHECK_FIELDS,
-            lambda v, inner: _label_list(v, "reviewed_labels", REVIEWED_LABEL_FIELDS, inner),
-        ),
-    ]
-    return _object_findings(obj, OBJECT_FIELDS, prefix, *parts)
+def _document_object_findings(obj: Column, i: Column) -> Column:
+    prefix = F.concat(F.lit("objects["), i.cast("string"), F.lit("]."))
+    return _object_findings(
+        obj,
+        OBJECT_FIELDS,
+        prefix,
+        _under("box", BOX_FIELDS, prefix),
+        _under("geometry_model", GEOMETRY_MODEL_FIELDS, prefix),
+        _under("geometry_detail", GEOMETRY_DETAIL_FIELDS, prefix, _polygon),
+        _under("crop", CROP_FIELDS, prefix, lambda inner: _under("crop_box", BOX_FIELDS, inner)),
+        _under("classification", CLASSIFICATION_FIELDS, prefix, lambda inner: _labels("multi_labels", LABEL_FIELDS, inner)),
+        _under("quality_check", QUALITY_CHECK_FIELDS, prefix, lambda inner: _labels("reviewed_labels", REVIEWED_LABEL_FIELDS, inner)),
+    )
 
 
 def schema_findings(document: Column) -> Column:
     """array<struct<path, rule, detail>>: where a raw document (VARIANT) departs from the schema."""
-
-    def under(parent: Column, name: str, fields: dict[str, Field], prefix: str, *extra) -> Column:
-        inner = f"{prefix}{name}."
-        return let(
-            item(parent, name),
-            lambda v: _object_findings(v, fields, F.lit(inner), *[build(v, inner) for build in extra]),
-        )
-
-    parts = [
-        under(
-            document,
+    top = F.lit("")
+    return _object_findings(
+        document,
+        DOCUMENT_FIELDS,
+        top,
+        _under(
             "image_asset",
             IMAGE_ASSET_FIELDS,
-            "",
-            lambda v, inner: under(v, "source_context", SOURCE_CONTEXT_FIELDS, inner),
-            lambda v, inner: under(v, "scene_context", SCENE_CONTEXT_FIELDS, inner),
+            top,
+            lambda inner: _under("source_context", SOURCE_CONTEXT_FIELDS, inner),
+            lambda inner: _under("scene_context", SCENE_CONTEXT_FIELDS, inner),
         ),
-        _each(item(document, "objects"), _document_object_findings),
-        under(document, "qc_policy", QC_POLICY_FIELDS, ""),
-        under(document, "workflow", WORKFLOW_FIELDS, ""),
-        under(document, "export", EXPORT_FIELDS, ""),
-    ]
-    return _object_findings(document, DOCUMENT_FIELDS, F.lit(""), *parts)
+        lambda held: _each(held.getField("objects"), _document_object_findings),
+        _under("qc_policy", QC_POLICY_FIELDS, top),
+        _under("workflow", WORKFLOW_FIELDS, top),
+        _under("export", EXPORT_FIELDS, top),
+    )
 
 
 # --- ingest -----------------------------------------------------------------------------------------
