@@ -76,15 +76,16 @@ def repeated_replies(replies: DataFrame, keys: list[str]) -> DataFrame:
     return replies.groupBy(*keys, "attempt").agg(F.count("*").alias("n_replies")).filter("n_replies > 1")
 
 
-def choose_attempts(stages: list[DataFrame], max_attempts: int = 3) -> DataFrame:
+def choose_attempts(stages: list[DataFrame], max_attempts: int = 3, first_needed: bool = True) -> DataFrame:
     """sample_id and `attempt`: the first attempt in which every reply of every stage was readable.
 
     `stages` are tables with sample_id, attempt, ok. An attempt counts only with a reply of the first stage; a
-    sample without any such reply has no row. A null attempt marks an exhausted sample.
+    sample without any such reply has no row. Without `first_needed` any stage's reply makes an attempt, and every
+    sample has a row. A null attempt marks an exhausted sample.
     """
     every = None
     for n, stage in enumerate(stages):
-        outcome = stage.select("sample_id", "attempt", "ok", F.lit(n == 0).alias("first"))
+        outcome = stage.select("sample_id", "attempt", "ok", F.lit(n == 0 or not first_needed).alias("first"))
         every = outcome if every is None else every.unionByName(outcome)
     whole = every.groupBy("sample_id", "attempt").agg(F.every("ok").alias("ok"), F.bool_or("first").alias("first"))
     good = F.col("ok") & F.col("first") & (F.col("attempt") <= max_attempts)

@@ -198,12 +198,11 @@ def w4(t: Tables) -> DataFrame:
 
 @query(
     "w4_chosen_attempt",
-    f"""SELECT sample_id, min(attempt) FILTER (ok AND viewed AND attempt <= 3) AS attempt FROM (SELECT sample_id, attempt,
-    bool_and({READABLE}) AS ok, bool_or(event_type = 'view') AS viewed FROM ({RETRY_SQL}) GROUP BY sample_id, attempt)
-    GROUP BY sample_id HAVING bool_or(viewed)""",
+    f"""SELECT sample_id, min(attempt) FILTER (ok AND attempt <= 3) AS attempt FROM (SELECT sample_id, attempt,
+    bool_and({READABLE}) AS ok FROM ({RETRY_SQL}) GROUP BY sample_id, attempt) GROUP BY sample_id""",
 )
 def w4_chosen(t: Tables) -> DataFrame:
     parsed = replies.parse_replies(t.derive("events", RETRY), "review")
     stage = parsed.select("sample_id", "attempt", "event_type", (F.col("parse_status") == "ok").alias("ok"))
     views, others = stage.filter("event_type = 'view'"), stage.filter("event_type <> 'view'")
-    return replies.choose_attempts([views, others], 3).select("sample_id", "attempt")
+    return replies.choose_attempts([views, others], 3, first_needed=False).select("sample_id", "attempt")

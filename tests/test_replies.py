@@ -237,3 +237,12 @@ def test_first_parseable_and_attempts(spark):
     other = spark.createDataFrame([("a", 2, False), ("c", 1, True)], "sample_id string, attempt int, ok boolean")
     chosen = replies.choose_attempts([stage, other], 3)
     assert {r.sample_id: r.attempt for r in chosen.collect()} == {"a": 3, "b": None, "c": 1}
+
+
+def test_attempts_of_any_stage(spark):
+    """Without `first_needed`, samples that only later stages answered are decided too."""
+    kind = "sample_id string, attempt int, ok boolean"
+    first = spark.createDataFrame([("a", 1, False), ("b", 2, True)], kind)
+    other = spark.createDataFrame([("a", 2, True), ("b", 1, True), ("c", 1, True), ("d", 1, False), ("e", 4, True)], kind)
+    chosen = replies.choose_attempts([first, other], 3, first_needed=False)
+    assert {r.sample_id: r.attempt for r in chosen.collect()} == {"a": 2, "b": 1, "c": 1, "d": None, "e": None}
