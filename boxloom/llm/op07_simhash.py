@@ -19,6 +19,8 @@ are ignored. An empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -43,11 +45,18 @@ def fingerprint(text: str | None, width: int) -> int:
     starts = np.r_[0, ends[:-1] + 1]
     if n <= width:
         return xxh64_intdigest(joined, seed=42)
-    total, count = np.zeros(64, np.int64), n - width + 1
+    count = n - width + 1
     starts, ends = starts[:count].tolist(), ends[width - 1 :].tolist()
-    for at in range(0, count, 50_000):
-        h = np.array([xxh64_intdigest(joined[a:b], seed=42) for a, b in zip(starts[at : at + 50_000], ends[at : at + 50_000], strict=True)], ">u8")
-        total += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    pieces = (zip(starts[at : at + 50_000], ends[at : at + 50_000], strict=True) for at in range(0, count, 50_000))
+    return fold(np.array([xxh64_intdigest(joined[a:b], seed=42) for a, b in piece], np.uint64) for piece in pieces)
+
+
+def fold(parts: Iterable[np.ndarray]) -> int:
+    """The fingerprint of hashes that come in parts; zero without any."""
+    total, count = np.zeros(64, np.int64), 0
+    for part in parts:
+        total += np.unpackbits(part.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+        count += len(part)
     return int.from_bytes(np.packbits(2 * total > count).tobytes(), "big")
 
 
@@ -166,6 +175,11 @@ def near_duplicates(docs: DataFrame, width: int = 4, radius: int = 4) -> DataFra
     """doc_id, fp, component_id (the smallest doc_id reachable)."""
     prints = store(fingerprints(docs, width), "fingerprints")
     points = store(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "points")
+    return prints.join(store(classes(points, radius), "classes"), "fp").select("doc_id", "fp", "component_id")
+
+
+def classes(points: DataFrame, radius: int = 4) -> DataFrame:
+    """fp, component_id (the smallest `first` reachable) of points (fp, first: long; stored, each fp once)."""
     total = points.count()
     sample = np.array([r.fp for r in points.select("fp").orderBy(F.xxhash64("fp")).limit(SAMPLE).collect()], np.int64).view(np.uint64)
     tree = plan(sample, total, radius) if total else 0
@@ -191,8 +205,7 @@ def near_duplicates(docs: DataFrame, width: int = 4, radius: int = 4) -> DataFra
 
     edges = points.select("fp", "first").mapInArrow(route, "shard int, fp long, first long").groupBy("shard").applyInArrow(connect, "a long, b long")
     labels = components(edges)
-    classes = points.join(labels, points["first"] == labels["node"], "left").select("fp", F.coalesce("component", "first").alias("component_id"))
-    return prints.join(store(classes, "classes"), "fp").select("doc_id", "fp", "component_id")
+    return points.join(labels, points["first"] == labels["node"], "left").select("fp", F.coalesce("component", "first").alias("component_id"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

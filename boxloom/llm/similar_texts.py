@@ -6,11 +6,12 @@ sequence; none: the empty set). Texts are linked if the Jaccard similarity of th
 Rows are told apart by doc_id and a hash of the text, so rows that repeat a doc_id may be in different components. A null
 doc_id names no component: such rows get the component of rows with the same set, else null.
 
-Equal sets are collapsed first. Sets meet through `BANDS` keys, each of `ROWS` of `HASHES` minimum hashes; sets that keys
-connect are a group, found from a star per key, never from pairs. All pairs of a group are compared by their
+Equal sets are collapsed first. Near copies meet as in `op07_simhash`: by SimHash fingerprints at most `RADIUS` bits apart, found
+with its vantage-point trees. Four bits are a similarity of about 0.96, and a radius that reaches 0.8 (about 16 of 64 bits) leaves
+the trees nothing to cut; so sets also meet through `BANDS` keys, each of `ROWS` of `HASHES` minimum hashes. Sets that fingerprints
+or keys connect are a group, found from a star per key, never from pairs. All pairs of a group are compared by their
 exact similarity: small groups are packed into tasks, others are cut into blocks, and two blocks are one task. A task
-returns a spanning forest. A fingerprint radius that reaches similarity 0.8 (about 16 of 64 bits) leaves
-vantage-point trees nothing to cut, so the trees of `op07_simhash` are not used here.
+returns a spanning forest.
 """
 
 from __future__ import annotations
@@ -20,9 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from boxloom.llm import op07_simhash
 from boxloom.llm.common import Sink, packed, rows_of, store, unpacker
 from boxloom.llm.components import Forest, components
 
+RADIUS = 4
 HASHES = 192
 ROWS = 6
 BANDS = 48
@@ -38,6 +41,11 @@ _MIX = _rng.integers(0, 2**64, (BANDS, ROWS), dtype=np.uint64) | np.uint64(1)
 
 def shingles(text: str | None, width: int) -> np.ndarray:
     """The sorted different hashes of a text's shingles."""
+    return np.unique(hashes(text, width))
+
+
+def hashes(text: str | None, width: int) -> np.ndarray:
+    """The hashes of a text's shingles, repeats included."""
     from xxhash import xxh64_intdigest
 
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
@@ -47,7 +55,7 @@ def shingles(text: str | None, width: int) -> np.ndarray:
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1) - 1
     starts, last = np.r_[0, ends[:-1] + 1], min(width, n) - 1
     count = n - last
-    return np.unique(np.fromiter((xxh64_intdigest(joined[a:b], seed=42) for a, b in zip(starts[:count].tolist(), ends[last:].tolist(), strict=True)), np.uint64, count))
+    return np.fromiter((xxh64_intdigest(joined[a:b], seed=42) for a, b in zip(starts[:count].tolist(), ends[last:].tolist(), strict=True)), np.uint64, count)
 
 
 def band_keys(found: np.ndarray) -> np.ndarray:
@@ -66,21 +74,25 @@ def _point(data: bytes) -> int:
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, text_hash (Spark's `xxhash64` of the text), point (hash of the set), n, keys."""
-    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("point", pa.int64()), ("n", pa.int64()), ("keys", pa.list_(pa.int64()))])
+    """doc_id, text_hash (Spark's `xxhash64` of the text), point (hash of the set), n, fp (fingerprint), keys."""
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("text_hash", pa.int64()), ("point", pa.int64()), ("n", pa.int64()), ("fp", pa.int64()), ("keys", pa.list_(pa.int64()))]
+    )
 
     def scan(batches):
         sink = Sink(schema)
         for key, text_hash, text in rows_of(batches, "doc_id", "text_hash", "text"):
-            found = shingles(text, width)
-            sink.add(key, text_hash, _point(found.tobytes()), len(found), band_keys(found), weight=1 + BANDS)
+            every = hashes(text, width)
+            found = np.unique(every)
+            fp = np.uint64(op07_simhash.fold(every[at : at + 50_000] for at in range(0, len(every), 50_000)))
+            sink.add(key, text_hash, _point(found.tobytes()), len(found), int(fp.view(np.int64)), band_keys(found), weight=1 + BANDS)
             if sink.full():
                 yield sink.take()
         yield sink.take()
 
     text = F.col("text").cast("string")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(
-        scan, "doc_id long, text_hash long, point long, n long, keys array<long>"
+        scan, "doc_id long, text_hash long, point long, n long, fp long, keys array<long>"
     )
 
 
@@ -132,8 +144,10 @@ def link(held: list[np.ndarray], side: np.ndarray | None, ids: list[int], simila
 def similar(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """doc_id, text_hash, component_id (the smallest doc_id reachable) of every row."""
     held = store(sketches(docs, width), "sketches")
-    points = store(held.groupBy("point").agg(F.min("doc_id").alias("first"), F.first("n").alias("n"), F.first("keys").alias("keys")), "points")
-    keys = points.select("point", F.explode("keys").alias("key"))
+    points = store(held.groupBy("point").agg(F.min("doc_id").alias("first"), F.first("n").alias("n"), F.min("fp").alias("fp"), F.first("keys").alias("keys")), "points")
+    prints = store(points.groupBy("fp").agg(F.min("point").alias("first")), "prints")
+    near = points.join(store(op07_simhash.classes(prints, RADIUS), "near"), "fp").select("point", F.xxhash64(F.lit("fp"), "component_id").alias("key"))
+    keys = points.select("point", F.explode("keys").alias("key")).unionByName(near)
     heads = keys.groupBy("key").agg(F.min("point").alias("head"), F.count("*").alias("n")).where("n > 1").select("key", "head")
     groups = store(components(keys.join(store(heads, "heads"), "key").where("point <> head").select(F.col("point").alias("a"), F.col("head").alias("b"))), "groups")
     sizes = store(groups.groupBy("component").agg(F.count("*").alias("members")), "sizes")

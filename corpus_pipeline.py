@@ -33,6 +33,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of texts alike in at least 0.8 of their five-word shingles the smallest doc_id stays.
 
+    Copies are found by op7's fingerprints and vantage-point trees, and by minimum hashes where texts differ more; then compared.
     Rows are judged each, also where they repeat a doc_id; rows with a null doc_id stay.
     """
     found = similar_texts.similar(docs, width=5, similarity=0.8)

@@ -2,6 +2,7 @@ import random
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 from boxloom.llm import similar_texts
 from llm_cases import corpus, frame
 from test_near import classes
@@ -52,3 +53,16 @@ def test_stage_drops_every_near_copy(spark):
 
 def test_similar_texts_empty_table(spark):
     assert similar_texts.similar(frame(spark, [(1, "a")]).where("false")).count() == 0
+
+
+def test_fingerprints_alone_find_close_copies(spark, monkeypatch):
+    """The stage runs op7's method: without any key of minimum hashes its trees still link close copies, and the exact check judges them."""
+    plain = similar_texts.sketches
+    monkeypatch.setattr(similar_texts, "sketches", lambda docs, width: plain(docs, width).withColumn("keys", F.array().cast("array<long>")))
+    rng = random.Random(4)
+    rows = []
+    for k in range(30):
+        base = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(400)]
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join([*base, "more"]))]
+    got = {r.doc_id: r.component_id for r in similar_texts.similar(frame(spark, rows)).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows}
