@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from boxloom import shared_path
 from boxloom.operators import samples
 from boxloom.operators.objects import to_documents, whole_samples
+from boxloom.session import stored
 from boxloom.sources import documents as files
 from catalog import scenes as sc
 from catalog.inputs import Tables
@@ -40,7 +41,7 @@ def w3_duplicates(t: Tables) -> DataFrame:
 )
 def w3_in_parts(t: Tables) -> DataFrame:
     """Samples with an odd key are written again without their later part; nothing of it survives."""
-    first = sc.classified(t, part_size=2).withColumn("run_seq", F.lit(0)).withColumn("k", F.substring("sample_id", 8, 20).cast("bigint"))
+    first = stored(sc.classified(t, part_size=2).withColumn("run_seq", F.lit(0)).withColumn("k", F.substring("sample_id", 8, 20).cast("bigint")), "first_run")
     again = first.filter("k % 2 = 1 AND part_no = 0").withColumn("run_seq", F.lit(1))
     kept = samples.last_write_wins(first.unionByName(again), ["sample_id"], [F.col("run_seq")])
     return whole_samples(kept).select("sample_id", "run_seq", F.size("objects").alias("n_objects"))

@@ -1,5 +1,6 @@
 import dataclasses
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -294,3 +295,22 @@ def test_sizes_and_crops_come_from_pixels(spark, tmp_path, write_png):
     assert sorted((c.sample_id, c.width, c.error) for c in missed) == [("s", 30, None), ("t", None, pixels.UNREADABLE_IMAGE)]
     # Spark keeps channels as blue, green, red
     assert bytes(cut[0].data[:6]) == bytes([7, 10, 10, 7, 10, 11])
+
+
+def test_parts_are_decided_from_one_reading(spark):
+    """The rows, costly where they are whole documents, are read once; what is joined comes from the stored table."""
+    rows = spark.range(40).selectExpr("CAST(id % 5 AS STRING) AS sample_id", "CAST(id % 3 AS INT) AS part_no", "id AS seq")
+    left = samples.last_write_wins(rows, ["sample_id"], [F.col("seq")])
+    assert "Range (" not in left._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, left.collect())) == [(str(i), (35 + i) % 3, 35 + i) for i in range(5)]
+
+
+def test_packed_json_lines(spark, tmp_path):
+    rows = spark.range(2000).selectExpr("id", "repeat('same ', 50) AS text", "CAST(NULL AS INT) AS n")
+    sizes = {}
+    for codec in (None, "gzip"):
+        path = f"{tmp_path}/{codec}"
+        documents.write_json_lines(rows, path, codec)
+        assert spark.read.schema(rows.schema).json(path).orderBy("id").collect() == rows.orderBy("id").collect()
+        sizes[codec] = sum(os.path.getsize(f"{path}/{name}") for name in os.listdir(path) if name.startswith("part-"))
+    assert sizes["gzip"] < sizes[None] / 10
