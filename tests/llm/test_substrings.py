@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 
@@ -104,3 +106,28 @@ def test_rows_without_doc_id_stay_whole(spark):
     assert phrases == {(None, 0), (1, 0), (2, 299)}
     strings = [(r.doc_id, r.n_removed) for r in op03_suffixes.remove_repeated_strings(frame(spark, rows)).collect()]
     assert sorted(strings, key=str) == sorted([(None, 0)] * 3 + [(1, 600), (2, 600)], key=str)
+
+
+def test_the_external_file_is_opened_once(tmp_path):
+    """A file that is cut to nothing and closed in every round costs more than the round's order."""
+    import sys
+
+    from boxloom.llm.op03_suffixes import repeated_places
+
+    opened = []
+    sys.addaudithook(lambda event, args: opened.append(args[0]) if event == "open" and str(args[0]) == f"{tmp_path}/rows" else None)
+    rng = random.Random(3)
+    base = bytes(rng.choices(b"ab\xc3", k=900))
+    texts = [base[i : i + rng.randrange(60, 200)] for i in (0, 5, 5, 40, 300, 310)] + [b"", b"a" * 150]
+    anchors, at = [4, 4, 9, 4, 9, 9, 4, 9], [50, 45, 20, 10, 30, 20, 0, 3]
+    found = repeated_places(texts, anchors, at, 33, str(tmp_path))
+    for i, text in enumerate(texts):
+        held = {
+            p
+            for j, other in enumerate(texts)
+            if j != i and anchors[j] == anchors[i]
+            for p in range(len(text) - 32)
+            if 0 <= p - at[i] + at[j] and text[p : p + 33] == other[p - at[i] + at[j] : p - at[i] + at[j] + 33]
+        }
+        assert found[i].tolist() == sorted(held)
+    assert sum(map(len, found)) > 50 and len(opened) == 1
