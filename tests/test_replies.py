@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from boxloom import vocab
 from boxloom.functions import text
 from boxloom.functions.columns import truthy
 from boxloom.operators import classify, detect, replies, review, scoring
@@ -246,3 +247,25 @@ def test_attempts_of_any_stage(spark):
     other = spark.createDataFrame([("a", 2, True), ("b", 1, True), ("c", 1, True), ("d", 1, False), ("e", 4, True)], kind)
     chosen = replies.choose_attempts([first, other], 3, first_needed=False)
     assert {r.sample_id: r.attempt for r in chosen.collect()} == {"a": 2, "b": 1, "c": 1, "d": None, "e": None}
+
+
+def test_answers_are_normalized_once(spark):
+    """Answers from prose are normal as they are, and the kind of a value is asked in one place for all keys."""
+    texts = [
+        "smoking: none (false). **Hard_Hat** -> true", "fighting true true hard_hat: FALSE hard_hat true", "smoking", "",
+        '{"hard_hat": "true", "smoking": true, "extra": [1], "notes": {"hard_hat": 7, "other": null}}', '{"notes": 3, "fighting": null}',
+        '{"error": "busy", "hard_hat": true}', "[1, true]", None,
+    ]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    prose = classify.prose_answers(F.col("t"))
+    both = rows.select(F.to_json(prose).alias("a"), F.to_json(classify.normalize_answers(prose)).alias("b")).collect()
+    assert all(r.a == r.b for r in both) and sum(r.a is not None for r in both) > 1
+    read = rows.select(classify.read_answers(F.col("t"), True).alias("a"))
+    found = [r.a and json.loads(r.a) for r in read.select(F.to_json("a").alias("a")).collect()]
+    assert [f and (f.get("hard_hat"), f.get("smoking"), f.get("fighting")) for f in found] == [
+        (True, False, False), (False, False, True), None, None, (False, True, False), (False, False, False), (True, None, None), (None, None, None), None
+    ]
+    assert found[4]["extra"] == [1] and found[4]["notes"]["hard_hat"] == 7 and found[4]["notes"]["other"] is None
+    assert found[4]["notes"]["fighting"] == vocab.NOTE_MISSING_KEY and "smoking" not in found[4]["notes"]
+    assert found[5]["notes"]["fighting"] == vocab.NOTE_NOT_BOOLEAN and found[5]["notes"]["smoking"] == vocab.NOTE_MISSING_KEY
+    assert read._jdf.queryExecution().analyzed().toString().count("schema_of_variant") <= 4  # 16 before
