@@ -223,6 +223,31 @@ def test_replies_nobody_asked_for_fail_no_attempt(spark):
     assert failed_requests(rows.withColumn("task_key", F.lit("ppe_person")), table, *fine, plan, RUN) is None
 
 
+def test_later_attempts_are_worked_out_only_where_the_first_fails(spark, monkeypatch):
+    """The first readable detection decides; "c" has none in attempt 1, "d" repeats one that cannot be read."""
+    from boxloom.operators import replies
+    from boxloom.plans import direct
+
+    rows = manifest_rows(spark, "a", "b", "c", "d")
+    said = [(i, n, "{" if (i, n) == ("c", 1) else REPLY) for i in "abcd" for n in (1, 2, 3)] + [("d", 1, "{")]
+    table = spark.createDataFrame([(*r, None, None) for r in said], REPLY_SCHEMA)
+    good, bad = '{"contains_person": true, "is_complete_visible_person": true}', "busy {"
+    # nobody asks about object 0 of "a"; object 1 fails "b" once and "c" in its first two attempts
+    reviews = [("a", n, 0, bad) for n in (1, 2, 3)] + [("a", 1, 1, good), ("b", 1, 1, bad), ("b", 2, 0, bad), ("b", 2, 1, good), ("b", 3, 0, bad)]
+    reviews += [("c", 1, 1, bad), ("c", 2, 1, bad), ("c", 3, 1, good), ("d", 1, 1, bad), ("d", 2, 0, bad)]
+    judged = spark.createDataFrame(reviews, "sample_id string, attempt int, pos int, raw_text string")
+    plan = dataclasses.replace(PLAN, review=ReviewPolicy(drop_failed=True))
+    worked, real = [], direct._failed
+    monkeypatch.setattr(direct, "_failed", lambda bad, *rest: worked.append({(r.sample_id, r.attempt) for r in bad.collect()}) or real(bad, *rest))
+    failed = direct.failed_requests(rows.withColumn("task_key", F.lit("ppe_person")), table, judged, None, plan, RUN)
+    assert sorted(map(tuple, failed.collect())) == [("b", 1, False), ("c", 2, False)]
+    assert worked == [{("a", 1), ("b", 1), ("c", 2), ("d", 2)}, {("b", 2), ("b", 3)}]
+    result = direct.annotate_directly(rows, table, plan, RUN, reviews=judged, classify=False)
+    assert {r.sample_id for r in result.samples.collect()} == {"a", "b", "c", "d"}
+    attempts = replies.choose_attempts([direct.detection_attempts(table, plan), failed], 3)
+    assert {r.sample_id: r.attempt for r in attempts.collect()} == {"a": 1, "b": 2, "c": 3, "d": 2}
+
+
 def test_direct_result_is_the_same_for_any_part_size(spark):
     """One image, one document and one task, with the same objects, order and notes."""
     boxes_said = [{"object_id": f"o{i}", "label": "person", "bbox": [i, 1, i + 10, 20], "score": 0.9} for i in range(7)]
