@@ -35,9 +35,21 @@ def preview(text: Column, limit: int = 300) -> Column:
 
 
 def clean_note(text: Column, limit: int = 180) -> Column:
-    """Note text without markdown marks and edge punctuation."""
-    plain = collapse(F.regexp_replace(text, "[*_`#>-]+", " "))
-    return shorten(F.btrim(plain, F.lit(" :;,.")), limit)
+    """Note text without markdown marks and edge punctuation.
+
+    What a beginning of the text cleans to is the beginning of what the whole cleans to, so once that is over the
+    limit the rest of a long text is not looked at.
+    """
+
+    def cleaned(part: Column) -> Column:
+        return F.btrim(collapse(F.regexp_replace(part, "[*_`#>-]+", " ")), F.lit(" :;,."))
+
+    def judge(head: Column) -> Column:
+        whole = let(cleaned(text), lambda plain: shorten(plain, limit))
+        return F.when((F.length(text) <= reach) | (F.length(head) > limit), shorten(head, limit)).otherwise(whole)
+
+    reach = 2 * limit
+    return let(cleaned(F.left(text, F.lit(reach))), judge)
 
 
 def slugify(text: Column, fallback: str = "item") -> Column:

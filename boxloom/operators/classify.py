@@ -29,7 +29,10 @@ from boxloom.params import Classifier, Run
 LABELS = "array<struct<label_key:string,label_value:string,confidence:double,evidence:string>>"
 _MEMBERS = "map<string,variant>"
 _KEY_GROUP = "(" + "|".join(vocab.ANSWER_KEYS) + ")"
-_MENTION = rf"(?<![a-z0-9_]){_KEY_GROUP}(?![a-z0-9_])"
+# most places are ruled out by their letter, before anything is looked at around them
+_INITIALS = "".join(sorted({key[0] for key in vocab.ANSWER_KEYS}))
+_MENTION = rf"(?=[{_INITIALS}])(?<![a-z0-9_]){_KEY_GROUP}(?![a-z0-9_])"
+_KEY_REACH = max(map(len, vocab.ANSWER_KEYS)) + 1
 
 
 def _members(variant: Column) -> Column:
@@ -141,12 +144,16 @@ def prose_answers(text: Column) -> Column:
     true/false it contains; per key the first answering piece counts.
     """
 
-    def piece_answer(piece: Column) -> Column:
-        words = F.regexp_extract_all(piece, F.lit(r"(?iU)\b(true|false)\b"), 1)
+    def named(piece: Column) -> Column:
+        key = F.regexp_extract(F.left(piece, F.lit(_KEY_REACH)), rf"(?i)^{_KEY_GROUP}(?![a-z0-9_])", 1)
+        return F.struct(F.lower(key).alias("key"), piece.alias("piece"))
+
+    def piece_answer(found: Column) -> Column:
+        words = F.regexp_extract_all(found["piece"], F.lit(r"(?=[tTfF])(?iU:\b(true|false)\b)"), 1)
         return F.struct(
-            F.lower(F.regexp_extract(piece, rf"(?i)^{_KEY_GROUP}(?![a-z0-9_])", 1)).alias("key"),
+            found["key"].alias("key"),
             F.lower(F.try_element_at(words, F.lit(-1))).alias("word"),
-            piece.alias("piece"),
+            found["piece"].alias("piece"),
         )
 
     def entry(key: Column, value: Column) -> Column:
@@ -174,8 +181,9 @@ def prose_answers(text: Column) -> Column:
         reply = F.to_variant_object(F.map_from_entries(F.concat(answers, extras)))
         return F.when(F.size(found) > 0, reply)
 
-    pieces = F.transform(cut_before(text, f"(?i:{_MENTION})"), piece_answer)
-    usable = F.filter(pieces, lambda p: (p.getField("key") != "") & p.getField("word").isNotNull())
+    # only pieces that begin with a key are searched for an answer
+    pieces = F.filter(F.transform(cut_before(text, f"(?i:{_MENTION})"), named), lambda p: p.getField("key") != "")
+    usable = F.filter(F.transform(pieces, piece_answer), lambda p: p.getField("word").isNotNull())
     return F.when(F.length(text) > 0, let(usable, build))
 
 

@@ -186,6 +186,17 @@ def test_prose_answers(one):
     assert answers(one, long_text, True)["smoking"] is True
 
 
+def test_only_the_beginning_of_a_long_note_is_cleaned(spark):
+    pieces = ["a", " ", "*_`", "#>-", ":;,.", "word: ", "\u3000\n\t", "b.c;", "\U0001f600"]
+    texts = ["".join(pieces[(i * j + j // 3) % len(pieces)] for j in range(n)) for i in range(1, 9) for n in (0, 1, 7, 60, 90, 180, 400, 900)]
+    texts += ["x" * n for n in (179, 180, 181, 359, 360, 361)] + [" " * 500 + "late", "*" * 900, "a" + "." * 900, "a" + "." * 900 + "z" * 300, "a" + " " * 900 + "z", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "n int, t string")
+    whole = text.shorten(F.btrim(text.collapse(F.regexp_replace("t", "[*_`#>-]+", " ")), F.lit(" :;,.")), 180)
+    found = rows.select("n", whole.alias("whole"), text.clean_note(F.col("t")).alias("note"))
+    assert [row for row in found.collect() if row.whole != row.note] == []
+    assert "substring(t" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 # --- retries ----------------------------------------------------------------------------------------
 
 
