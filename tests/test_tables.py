@@ -339,3 +339,23 @@ def test_packed_json_lines(spark, tmp_path):
         assert spark.read.schema(rows.schema).json(path).orderBy("id").collect() == rows.orderBy("id").collect()
         sizes[codec] = sum(os.path.getsize(f"{path}/{name}") for name in os.listdir(path) if name.startswith("part-"))
     assert sizes["gzip"] < sizes[None] / 10
+
+
+def test_objects_stay_in_place_when_values_are_aligned(spark):
+    """Samples laid out by sample are not shuffled again for their values, nor to be made whole."""
+    from boxloom.operators import replies
+
+    rows = [(f"s{n}", part, [{"pos": 2 * part}, {"pos": 2 * part + 1}]) for n in range(20) for part in range(n % 3 + 1)]
+    placed = spark.createDataFrame([(None, 0, []), *rows], "sample_id string, part_no int, objects array<struct<pos:int>>").repartition("sample_id")
+    values = spark.createDataFrame([(f"s{n}", pos, 10 * n + pos) for n in range(20) for pos in range(0, 6, 2)], "sample_id string, pos int, v int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        aligned = replies.align(placed, values, "v", part_size=2)
+        assert aligned.columns == ["sample_id", "part_no", "objects", "v"]
+        found = {(r.sample_id, r.part_no): r.v for r in aligned.collect()}
+        whole = objects.whole_samples(aligned.drop("v").withColumn("n_parts", F.lit(1)))
+        assert whole._jdf.queryExecution().executedPlan().toString().count("Exchange") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found == {(None, 0): None, **{(f"s{n}", part): {2 * part: 10 * n + 2 * part} for n in range(20) for part in range(n % 3 + 1)}}
