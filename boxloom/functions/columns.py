@@ -16,17 +16,18 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def bind(rows: DataFrame, values: dict[str, Column]) -> DataFrame:
+def bind(rows: DataFrame, values: dict[str, Column], drop: Iterable[str] = ()) -> DataFrame:
     """Add or replace columns that are costly to compute, evaluated exactly once per row.
 
     The optimizer copies a projected expression into every filter it pushes down, also into the ones it
     infers from `explode`, and nested copies multiply. Values that come out of `inline` are not copied.
     Plain columns pass beside it, so join keys keep their partitioning. Structs and arrays pass through
-    it: Spark 4.1 can lose track of a struct's fields when they are read across a generator.
+    it: Spark 4.1 can lose track of a struct's fields when they are read across a generator. Columns to `drop` can be
+    used by the values and are not passed through.
     """
     plain, nested = [], []
     for field in rows.schema.fields:
-        if field.name not in values:
+        if field.name not in values and field.name not in drop:
             (nested if isinstance(field.dataType, _NESTED) else plain).append(field.name)
     row = F.struct(*nested, *[value.alias(name) for name, value in values.items()])
     # computed in a projection, which is compiled; the generator itself only passes the struct on

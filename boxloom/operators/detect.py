@@ -75,6 +75,7 @@ def _read_rectangle(entry: Column, service: RectangleService) -> Column:
             entry["value"].alias("value"),
             F.coalesce(F.get(value["rectanglelabels"], F.lit(0)), F.lit(service.target_label)).alias("label"),
             entry["id"].alias("source_id"),
+            text_of(entry["id"]).alias("source_text"),
             _given_or(entry["score"], entry["prediction_score"]).alias("confidence"),
             present(_CORNERS).alias("has_corners"),
             present(_RECT).alias("has_rect"),
@@ -117,6 +118,14 @@ def rectangle_objects(
         )
         return F.struct(read_out.alias("read"), converted.alias("converted"))
 
+    def name(entry: Column, i: Column) -> Column:
+        """The identifier, worked out once for its two places in the object."""
+        return F.struct(
+            entry.getField("read").alias("read"),
+            entry.getField("converted").alias("converted"),
+            object_id(entry.getField("read").getField("source_text"), service.object_id_prefix, i + 1).alias("identifier"),
+        )
+
     def build(entry: Column, i: Column) -> Column:
         found, converted = entry.getField("read"), entry.getField("converted")
         label, source_id = found.getField("label"), found.getField("source_id")
@@ -142,7 +151,7 @@ def rectangle_objects(
         )
         return make_object(
             i,
-            object_id(text_of(source_id), service.object_id_prefix, i + 1),
+            entry.getField("identifier"),
             mapped,
             converted.getField("box"),
             F.lit(service.geometry_source),
@@ -157,7 +166,7 @@ def rectangle_objects(
         return let(
             good,
             lambda kept: F.struct(
-                F.transform(kept, build).alias("objects"), (F.size(entries) - F.size(kept)).alias("n_bad")
+                F.transform(F.transform(kept, name), build).alias("objects"), (F.size(entries) - F.size(kept)).alias("n_bad")
             ),
         )
 
@@ -278,10 +287,10 @@ def detect(
     joined = samples.drop("objects").join(
         payloads.select("sample_id", "payload", "request_width", "request_height"), "sample_id", "left"
     )
-    found = bind(joined, {"_found": detected_objects(services)})
+    found = bind(joined, {"_found": detected_objects(services)}, drop=("payload", "request_width", "request_height"))
     filled = (
         found.withColumn("objects", F.coalesce("_found.objects", F.array().cast(OBJECTS)))
         .withColumn("n_bad", F.coalesce("_found.n_bad", F.lit(0)))
-        .drop("_found", "payload", "request_width", "request_height")
+        .drop("_found")
     )
     return split_parts(filled, part_size)

@@ -109,7 +109,10 @@ def split_parts(samples: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
     """
     kept = [name for name in samples.columns if name not in ("objects", "part_no", "n_parts")]
     parts = F.array_distinct(F.transform("objects", lambda o: part_of(o["pos"], part_size)))
-    some = F.when(F.size("objects") > 0, parts).otherwise(F.array(F.lit(0)))
+    pos = F.col("objects")["pos"]
+    # the usual row is told by compiled expressions; a null position, with which `array_contains` is null, makes a part of its own
+    one = (F.array_min(pos) >= 0) & (F.array_max(pos) < part_size) & ~F.array_contains(pos, F.lit(-1))
+    some = F.when((F.size("objects") > 0) & ~F.coalesce(one, F.lit(False)), parts).otherwise(F.array(F.lit(0)))
     split = samples.withColumn("_parts", some).select(
         *kept, "objects", F.size("_parts").alias("n_parts"), F.explode("_parts").alias("part_no")
     )

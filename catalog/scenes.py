@@ -6,6 +6,8 @@ runs the operators on the texts; the SQL works on the formulas directly and neve
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -64,17 +66,25 @@ BAD_DETECTION = "(k % 17 = 0 AND attempt = 1) OR k % 101 = 0"
 BAD_REVIEW = f"({S} % 23 = 0 AND attempt < 3)"
 BAD_ANSWER = f"({S} % 37 = 0 AND attempt = 2)"
 
-_ENTRY = f"""concat('{{"id": ', coalesce(concat('"', {OBJECT["source_id"]}, '"'), '7'), ', "type": "rectanglelabels", ',
-  CASE WHEN {S} % 13 = 0 THEN '"score": null, ' WHEN {S} % 13 = 1 THEN ''
-    ELSE concat('"score": ', CAST({S} % 100 AS DOUBLE) / 100, ', ') END,
-  '"value": {{"x": ', {OBJECT["x"]}, ', "y": ', {OBJECT["y"]}, ', "width": ', {OBJECT["bw"]}, ', "height": ', {OBJECT["bh"]},
-  ', "rectanglelabels": ["', {OBJECT["label"]}, '"]}}}}')"""
-# a choice to ignore in front, an unreadable rectangle in the middle, and two predictions
+def _of_object(text: str, p: int) -> str:
+    """A formula for the object at position `p`; written out for each position, it is compiled, inside a lambda it is not."""
+    return re.sub(r"\bp\b", str(p), text)
+
+
+def _entry(p: int) -> str:
+    s, x, y, bw, bh, label, source_id = (_of_object(OBJECT[name], p) for name in ("s", "x", "y", "bw", "bh", "label", "source_id"))
+    return f"""concat('{{"id": ', coalesce(concat('"', {source_id}, '"'), '7'), ', "type": "rectanglelabels", ',
+  CASE WHEN {s} % 13 = 0 THEN '"score": null, ' WHEN {s} % 13 = 1 THEN ''
+    ELSE concat('"score": ', CAST({s} % 100 AS DOUBLE) / 100, ', ') END,
+  '"value": {{"x": ', {x}, ', "y": ', {y}, ', "width": ', {bw}, ', "height": ', {bh},
+  ', "rectanglelabels": ["', {label}, '"]}}}}')"""
+
+
+# a choice to ignore in front, an unreadable rectangle in the middle, and two predictions; scenes have 0 to 3 objects
 DETECTION_TEXT = f"""concat('Result: [{{"data": {{"image": "a.jpg"}}, "predictions": [{{"score": 0.5, "result": [{{"type": "choices", "id": "c"}}',
   CASE WHEN k % 6 = 0 THEN ', {{"type": "rectanglelabels", "value": {{"x": 1}}}}' ELSE '' END,
-  CASE WHEN n > 0 THEN array_join(transform(slice(sequence(0, n - 1), 1, 2), p -> concat(', ', {_ENTRY})), '') ELSE '' END,
-  ']}}, {{"score": 0.5, "result": [', CASE WHEN n > 2 THEN array_join(transform(slice(sequence(0, n - 1), 3, 1), p -> {_ENTRY}), '') ELSE '' END,
-  ']}}]}}] end')"""
+  CASE WHEN n > 0 THEN concat(', ', {_entry(0)}) ELSE '' END, CASE WHEN n > 1 THEN concat(', ', {_entry(1)}) ELSE '' END,
+  ']}}, {{"score": 0.5, "result": [', CASE WHEN n > 2 THEN {_entry(2)} ELSE '' END, ']}}]}}] end')"""
 REVIEW_TEXT = f"""concat('{{"contains_person": ', {S} % 7 <> 0, ', "is_complete_visible_person": ', {S} % 5 <> 0,
   ', "missing_parts": ', CASE WHEN {S} % 2 = 0 THEN '["feet", "hand"]' ELSE '[]' END, ', "reason": " r', {S} % 3, ' "}}')"""
 ANSWER_TEXT = f"""CASE WHEN {S} % 3 < 2 THEN concat('{{"hard_hat": ', {S} % 3 = 0, ', "smoking": ', CASE WHEN {S} % 4 = 1
