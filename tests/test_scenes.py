@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from boxloom.functions.columns import bind
 from boxloom.functions.geometry import make_box
-from boxloom.operators import detect, objects, samples
+from boxloom.operators import classify, detect, objects, samples
 from boxloom.params import RectangleService, Run
 from catalog import scenes as sc
 from catalog.inputs import Tables
@@ -63,3 +63,23 @@ def test_parts_of_ordinary_and_odd_positions(spark):
 
     assert parts(0, 9) == [(0, 1, 2)] and parts(9, 10) == [(0, 2, 1), (1, 2, 1)] and parts(12) == [(1, 1, 1)]
     assert parts(-1) == [(-1, 1, 1)] and parts(3, None) == [(0, 2, 1), (None, 2, 0)]
+
+
+def test_labels_are_read_in_one_pass(spark):
+    replies = [
+        {"hard_hat": True, "smoking": False, "notes": {"hard_hat": "", "smoking": 7, "other": "x"}},
+        {"hard_hat": "true", "fighting": True, "notes": "none"},
+        {"error": "", "sleeping_on_duty": False, "notes": None},
+        {"error": "e", "hard_hat": True},
+    ]
+    rows = spark.createDataFrame([(n, json.dumps(r)) for n, r in enumerate(replies)], "n int, text string")
+    read = rows.select("n", classify.labels_from_answers(F.try_parse_json("text")).alias("labels"))
+    assert "element_at" not in logical(read)
+    found = {r.n: [tuple(v) for v in r.labels] for r in read.collect()}
+    said = "vlm classification"
+    assert found == {
+        0: [("helmet", "wearing_helmet", None, said), ("smoking", "not_smoking", None, "7")],
+        1: [("fighting", "fighting", None, said)],
+        2: [("sleeping", "not_sleeping", None, said)],
+        3: [],
+    }
