@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,8 @@ PLACES = 1 << 31
 #: Ids are sent back in blobs of this many words at most.
 BLOB_WORDS = 200_000
 
+Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
 
 def load_ranks(path: str) -> dict[bytes, int]:
     """Merge ranks from a file of lines: base64 of the token's bytes, rank."""
@@ -82,7 +85,7 @@ def _chunks(docs: DataFrame, pattern: str) -> DataFrame:
             flat = np.concatenate(places) if places else np.zeros(0, np.uint32)
             # frequent words first, so numbers pack better; words of one frequency in order, so words do
             names, counts = list(words), np.bincount(flat, minlength=len(words)).tolist()
-            often = sorted(range(len(names)), key=lambda i: (-counts[i], names[i]))
+            often = sorted(sorted(range(len(names)), key=names.__getitem__), key=lambda i: -counts[i])
             number = np.empty(len(words), np.uint32)
             number[often] = np.arange(len(words), dtype=np.uint32)
             out.add(next(numbers), ids, sizes, squeeze.compress(_planes(number[flat])), [names[i] for i in often])
@@ -103,8 +106,8 @@ def _chunks(docs: DataFrame, pattern: str) -> DataFrame:
     return docs.mapInArrow(cut, "chunk long, doc_ids array<long>, sizes array<int>, places binary, words array<string>")
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, ids: the token ids of each text, without special tokens."""
+def _encoder(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, Batches]:
+    """Chunks with the ids of their words, and what puts them together in a task: batches of doc_id, ids."""
     spark = small_batches(docs.sparkSession)
     ranks = spark.sparkContext.broadcast(load_ranks(path))
     chunks = _bucketed(_chunks(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), pattern))
@@ -168,16 +171,22 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
                 for at in range(0, len(ids), 500):
                     yield pa.RecordBatch.from_arrays([column("doc_ids").flatten().slice(at, 500), ids.slice(at, 500)], names=["doc_id", "ids"])
 
-    return chunks.select("chunk", "doc_ids", "sizes", "places").join(joined.hint("merge"), "chunk", "left").mapInArrow(reassemble, "doc_id long, ids array<int>")
+    return chunks.select("chunk", "doc_ids", "sizes", "places").join(joined.hint("merge"), "chunk", "left"), reassemble
 
 
-def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """doc_id, ids, decoded: the bytes that the ids stand for."""
+def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, ids: the token ids of each text, without special tokens."""
+    chunks, reassemble = _encoder(docs, path, pattern, id_col, text_col)
+    return chunks.mapInArrow(reassemble, "doc_id long, ids array<int>")
+
+
+def _decoder(spark: SparkSession, path: str) -> Batches:
+    """What adds to batches of doc_id, ids the bytes `decoded` that the ids stand for."""
     ranks = load_ranks(path)
     table = [None] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
         table[rank] = token
-    tokens = encoded.sparkSession.sparkContext.broadcast(table)
+    tokens = spark.sparkContext.broadcast(table)
 
     def join(batches):
         known = pa.array(tokens.value, pa.binary())
@@ -197,13 +206,24 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
                 texts = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(offsets[ends].astype(np.int32).tobytes()), data])
                 yield pa.RecordBatch.from_arrays([batch.column(0), lists, texts], names=["doc_id", "ids", "decoded"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(join, "doc_id long, ids array<int>, decoded binary")
+    return join
+
+
+def decode(encoded: DataFrame, path: str) -> DataFrame:
+    """doc_id, ids, decoded: the bytes that the ids stand for."""
+    return encoded.select("doc_id", "ids").mapInArrow(_decoder(encoded.sparkSession, path), "doc_id long, ids array<int>, decoded binary")
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """`decode` of what `encode` gives, in one Python worker a task: two would each hold a chunk's ids."""
+    chunks, reassemble = _encoder(docs, path, pattern)
+    join = _decoder(docs.sparkSession, path)
+    return chunks.mapInArrow(lambda batches: join(reassemble(batches)), "doc_id long, ids array<int>, decoded binary")
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of each text after a round trip."""
-    both = decode(encode(docs, path, pattern), path)
-    return both.select(
+    return round_trip(docs, path, pattern).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

@@ -33,3 +33,14 @@ def test_empty_table_clashing_columns_and_unknown_ids(spark):
     assert {r.doc_id: len(r.ids) for r in bpe.encode(docs, PATH, public_tokenizers.PATTERN).collect()} == {1: 2, 2: 0}
     with pytest.raises(Exception, match="outside the vocabulary"):
         bpe.decode(spark.createDataFrame([(1, [50256])], "doc_id long, ids array<int>"), PATH).collect()
+
+
+def test_a_round_trip_takes_one_worker_a_task(spark):
+    docs = frame(spark, [(1, "words here, here"), (2, None), (2, "x\u00e9 \U0001f600")])
+    both = bpe.digests(docs, PATH, public_tokenizers.PATTERN)
+    # one encodes the words, one puts texts together and decodes them; texts were cut before
+    assert both._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 2
+    apart = bpe.decode(bpe.encode(docs, PATH, public_tokenizers.PATTERN), PATH).collect()
+    whole = bpe.round_trip(docs, PATH, public_tokenizers.PATTERN).collect()
+    assert sorted((r.doc_id, r.ids, bytes(r.decoded)) for r in whole) == sorted((r.doc_id, r.ids, bytes(r.decoded)) for r in apart)
+    assert sorted(bytes(r.decoded).decode() for r in whole) == ["", "words here, here", "x\u00e9 \U0001f600"]
