@@ -44,7 +44,7 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 def _planes(numbers: np.ndarray) -> bytes:
     """32-bit numbers as four planes of bytes, which pack better than the numbers."""
-    return np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 4).T).tobytes()
+    return numbers.view(np.uint8).reshape(-1, 4).T.tobytes()
 
 
 def _numbers(planes: bytes) -> np.ndarray:
@@ -88,7 +88,8 @@ def _chunks(docs: DataFrame, pattern: str) -> DataFrame:
             often = sorted(sorted(range(len(names)), key=names.__getitem__), key=lambda i: -counts[i])
             number = np.empty(len(words), np.uint32)
             number[often] = np.arange(len(words), dtype=np.uint32)
-            out.add(next(numbers), ids, sizes, squeeze.compress(_planes(number[flat])), [names[i] for i in often])
+            flat = number[flat]
+            out.add(next(numbers), ids, sizes, squeeze.compress(_planes(flat)), [names[i] for i in often])
             return out.take()
 
         for key, text in rows_of(batches, "doc_id", "text"):
@@ -154,22 +155,25 @@ def _encoder(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", t
         import zstandard
 
         expand = zstandard.ZstdDecompressor()
+
+        def texts(part):
+            """doc_ids and ids of a chunk's texts; what leads to them is let go before they are sent."""
+            column = lambda name: part.column(part.schema.get_field_index(name))
+            sizes = np.asarray(column("sizes").flatten())
+            places = _numbers(expand.decompress(column("places")[0].as_py()))
+            known = [_known(expand.decompress(blob)) for blob in column("blobs")[0].as_py() or []]
+            where, lengths, ids = (np.concatenate([k[i] for k in known]) if known else np.zeros(0, np.uint32) for i in range(3))
+            words = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lengths)].astype(np.int32)), pa.array(ids.view(np.int32)))
+            lists = words.take(pa.array(np.argsort(where))).take(pa.array(places))
+            # the offsets count the ids already, up to each place
+            ends = np.asarray(lists.offsets)[np.r_[0, np.cumsum(sizes)].astype(np.int64)]
+            return column("doc_ids").flatten(), pa.ListArray.from_arrays(pa.array(ends - ends[0]), lists.flatten())
+
         for batch in batches:
             for row in range(batch.num_rows):
-                part = batch.slice(row, 1)
-                column = lambda name, part=part: part.column(part.schema.get_field_index(name))
-                sizes = np.asarray(column("sizes").flatten())
-                places = _numbers(expand.decompress(column("places")[0].as_py()))
-                known = [_known(expand.decompress(blob)) for blob in column("blobs")[0].as_py() or []]
-                where, lengths, ids = (np.concatenate([k[i] for k in known]) if known else np.zeros(0, np.uint32) for i in range(3))
-                words = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lengths)].astype(np.int32)), pa.array(ids.view(np.int32)))
-                words = words.take(pa.array(np.argsort(where)))
-                lists = words.take(pa.array(places))
-                counts = np.r_[0, np.cumsum(np.asarray(lists.value_lengths(), dtype=np.int64))]
-                ends = counts[np.r_[0, np.cumsum(sizes)].astype(np.int64)].astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(ends), lists.flatten())
+                doc_ids, ids = texts(batch.slice(row, 1))
                 for at in range(0, len(ids), 500):
-                    yield pa.RecordBatch.from_arrays([column("doc_ids").flatten().slice(at, 500), ids.slice(at, 500)], names=["doc_id", "ids"])
+                    yield pa.RecordBatch.from_arrays([doc_ids.slice(at, 500), ids.slice(at, 500)], names=["doc_id", "ids"])
 
     return chunks.select("chunk", "doc_ids", "sizes", "places").join(joined.hint("merge"), "chunk", "left"), reassemble
 
