@@ -4,11 +4,13 @@ A text is put in lower case (A-Z), cut into words and into shingles of `width` c
 whole sequence; none: fingerprint zero). A fingerprint bit is 1 if it is set in over half of the shingles' XXH64
 (seed 42). Fingerprints with at most `radius` differing bits are linked; components are the closure.
 
-Equal fingerprints are collapsed first, so copies of any number are one point. A vantage-point tree over a bounded
-sample of fingerprints cuts the space into shards: a point goes to the inner side if its distance to the vantage
+Equal fingerprints are collapsed first, so copies of any number are one point. Points are dealt into shards by blocks of
+bits: of `radius` + 1 blocks two points within `radius` have one in common at least (of more blocks, several), so
+with a copy of each point for every choice of blocks each pair meets in one shard. That number of copies is fixed by the
+radius and the number of points (5, from 8 million points on 15), where cuts by distance overlap more the deeper they go. A shard is
+searched by a vantage-point tree: a point goes to the inner side if its distance to the vantage
 point is at most r + radius, and to the outer side if it is more than r. By the triangle inequality each
-pair within `radius` shares a side, at every level, so boundary points are in several shards and every pair
-meets in one. Shards go on splitting by the same rule down to small leaves, which are compared exactly; a leaf that
+pair within `radius` shares a side, at every level. Splitting goes on down to small leaves, which are compared exactly; a leaf that
 no vantage point splits (a tight cloud of near copies) is covered by balls of half the radius, whose members are
 linked by the triangle inequality, and only balls of different components are compared. A shard returns a spanning
 forest, never all pairs.
@@ -19,7 +21,9 @@ are ignored. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import math
+from collections.abc import Iterable, Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +33,10 @@ from pyspark.sql import functions as F
 from boxloom.llm.common import rows_of, store
 from boxloom.llm.components import Forest, components
 
-SAMPLE = 8192
-SHARD_POINTS = 120_000
+#: Points of a shard, by the mean: a tree over points without near ones costs in proportion to their square.
+SHARD_POINTS = 2048
+#: Copies of a point over all shards at most.
+COPIES = 64
 LEAF = 384
 
 
@@ -94,21 +100,28 @@ def _vantage(points: np.ndarray, radius: int, rng) -> tuple[np.uint64, int, floa
     return best
 
 
-def plan(sample: np.ndarray, total: int, radius: int) -> list:
-    """Tree over the sample: [vantage, r, inner, outer], leaves are shard numbers."""
-    rng, shards = np.random.default_rng(11), 0
+def layout(total: int, radius: int) -> tuple[int, int, int]:
+    """How `total` points are dealt: number of blocks, blocks two points must share, bits looked at in each.
+
+    Of `radius` + n blocks points within `radius` share n. More blocks are taken only where the shards of fewer would grow.
+    """
+    need, best = math.ceil(math.log2(max(1, total / SHARD_POINTS))), (1, 1, 0)
+    for shared in range(1, 65 - radius):
+        blocks = radius + shared
+        if need <= best[1] * best[2] or math.comb(blocks, shared) > COPIES:
+            break
+        best = (blocks, shared, min(64 // blocks, math.ceil(need / shared)))
+    return best
 
-    def grow(points: np.ndarray):
-        nonlocal shards
-        if len(points) >= 64 and total * len(points) / len(sample) > SHARD_POINTS:
-            vantage, r, share = _vantage(points, radius, rng)
-            if share < 0.9:
-                d = np.bitwise_count(points ^ vantage)
-                return [int(vantage), r, grow(points[d <= r + radius]), grow(points[d > r])]
-        shards += 1
-        return shards - 1
 
-    return grow(sample)
+def shards(prints: np.ndarray, blocks: int, shared: int, bits: int) -> Iterator[np.ndarray]:
+    """The shard of every point, once for each choice of blocks."""
+    parts = [prints >> np.uint64(64 // blocks * b) & np.uint64((1 << bits) - 1) for b in range(blocks)]
+    for number, chosen in enumerate(combinations(range(blocks), shared)):
+        shard = np.full(len(prints), number, np.uint64)
+        for b in chosen:
+            shard = shard << np.uint64(bits) | parts[b]
+        yield shard.view(np.int64)
 
 
 def _link_leaf(points: np.ndarray, ids: np.ndarray, radius: int, forest: Forest) -> None:
@@ -180,30 +193,18 @@ def near_duplicates(docs: DataFrame, width: int = 4, radius: int = 4) -> DataFra
 
 def classes(points: DataFrame, radius: int = 4) -> DataFrame:
     """fp, component_id (the smallest `first` reachable) of points (fp, first: long; stored, each fp once)."""
-    total = points.count()
-    sample = np.array([r.fp for r in points.select("fp").orderBy(F.xxhash64("fp")).limit(SAMPLE).collect()], np.int64).view(np.uint64)
-    tree = plan(sample, total, radius) if total else 0
+    dealt = layout(points.count(), radius)
 
     def route(batches):
         for batch in batches:
-            prints, first = np.asarray(batch.column(0)).view(np.uint64), np.asarray(batch.column(1))
-            todo, shard, rows = [(tree, np.arange(len(prints)))], [], []
-            while todo:
-                node, at = todo.pop()
-                if isinstance(node, int):
-                    shard.append(np.full(len(at), node, np.int32))
-                    rows.append(at)
-                    continue
-                d = np.bitwise_count(prints[at] ^ np.uint64(node[0]))
-                todo += [(node[2], at[d <= node[1] + radius]), (node[3], at[d > node[1]])]
-            rows = np.concatenate(rows)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shard)), pa.array(prints[rows].view(np.int64)), pa.array(first[rows])], names=["shard", "fp", "first"])
+            for shard in shards(np.asarray(batch.column(0)).view(np.uint64), *dealt):
+                yield pa.RecordBatch.from_arrays([pa.array(shard), batch.column(0), batch.column(1)], names=["shard", "fp", "first"])
 
     def connect(table: pa.Table) -> pa.Table:
         a, b = link(table["fp"].to_numpy().view(np.uint64), table["first"].to_numpy(), radius).edges()
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    edges = points.select("fp", "first").mapInArrow(route, "shard int, fp long, first long").groupBy("shard").applyInArrow(connect, "a long, b long")
+    edges = points.select("fp", "first").mapInArrow(route, "shard long, fp long, first long").groupBy("shard").applyInArrow(connect, "a long, b long")
     labels = components(edges)
     return points.join(labels, points["first"] == labels["node"], "left").select("fp", F.coalesce("component", "first").alias("component_id"))
 

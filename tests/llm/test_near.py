@@ -77,6 +77,33 @@ def test_shards_find_every_pair(spark, monkeypatch):
     assert got == {i: i - 900 if i >= 900 else i for i in range(1200)}
 
 
+@pytest.mark.parametrize("points, radius", [(900, 4), (60 << 12, 4), (60 << 20, 4), (60 << 27, 4), (5000, 0), (10**6, 13), (10**6, 64)])
+def test_pairs_share_a_shard_and_copies_do_not_grow(monkeypatch, points, radius):
+    """Dealt for any number of points, a pair within the radius meets; a point has few copies and its shards are small."""
+    monkeypatch.setattr(simhash, "SHARD_POINTS", 60)
+    rng = np.random.default_rng(8)
+    here = rng.integers(0, 2**64, 2000, dtype=np.uint64)
+    flipped = np.array([sum(1 << int(b) for b in rng.choice(64, radius, replace=False)) for _ in here], np.uint64)
+    blocks, shared, bits = simhash.layout(points, radius)
+    mine, theirs = ([*simhash.shards(p, blocks, shared, bits)] for p in (here, here ^ flipped))
+    assert np.logical_or.reduce([a == b for a, b in zip(mine, theirs, strict=True)]).all()
+    assert len(mine) <= simhash.COPIES and len({*np.concatenate(mine).tolist()}) <= len(mine) << shared * bits
+    if radius < 5:
+        assert len(mine) <= 35 and points >> shared * bits <= 60
+
+
+def test_shards_by_several_blocks_find_every_pair(spark, monkeypatch):
+    """So many shards that two points must share two blocks."""
+    monkeypatch.setattr(simhash, "SHARD_POINTS", 0.1)
+    rng = np.random.default_rng(6)
+    points = rng.integers(0, 2**64, 900, dtype=np.uint64)
+    points = np.r_[points, points[:300] ^ np.array([sum(1 << int(b) for b in rng.choice(64, 4, replace=False)) for _ in range(300)], np.uint64)].view(np.int64)
+    assert simhash.layout(len(points), 4)[1] > 1
+    found = simhash.classes(spark.createDataFrame([(int(p), i) for i, p in enumerate(points)], "fp long, first long")).collect()
+    ids = {int(p): i for i, p in enumerate(points)}
+    assert {ids[r.fp]: r.component_id for r in found} == {i: i - 900 if i >= 900 else i for i in range(1200)}
+
+
 def test_simhash_empty_table(spark):
     assert simhash.near_duplicates(frame(spark, [(1, "a")]).where("false")).count() == 0
 
