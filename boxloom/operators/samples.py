@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import functools
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boxloom import schema, vocab
@@ -92,15 +90,14 @@ def last_write_wins(rows: DataFrame, keys: list[str], order: list[Column]) -> Da
     together: all parts of the winning write stay, parts of other writes go.
     """
     if "part_no" in rows.columns and "part_no" not in keys:
-        # each part's newest write, computed once; then one small row per key, so a key's parts are joined to it, never gathered
+        # each part's newest write, computed once; then a window over these few rows of a key. A join with the keys' newest writes is
+        # guessed at next to nothing beside whole objects, and taken for small, all keys would go through the driver
         values = [name for name in rows.columns if name not in (*keys, "part_no")]
         last = F.max_by(F.struct(*values), F.struct(*order)).alias("_row")
         written = F.max(F.struct(*[column.alias(f"o{i}") for i, column in enumerate(order)])).alias("_written")
         parts = stored(rows.groupBy(*keys, "part_no").agg(last, written), "newest")
-        newest = parts.groupBy(*keys).agg(F.max("_written").alias("_newest"))
-        same = functools.reduce(lambda a, b: a & b, [F.col(f"_all.{k}").eqNullSafe(F.col(f"_new.{k}")) for k in keys])
-        kept = parts.alias("_all").join(newest.alias("_new"), same).filter(F.col("_written").eqNullSafe(F.col("_newest")))
-        return kept.select(*[f"_all.{k}" for k in keys], "part_no", "_row.*").select(*rows.columns)
+        flat = parts.select(*keys, "part_no", "_row.*", "_written", F.max("_written").over(Window.partitionBy(*keys)).alias("_newest"))
+        return flat.filter(F.col("_written").eqNullSafe(F.col("_newest"))).select(*rows.columns)
     values = [name for name in rows.columns if name not in keys]
     newest = F.max_by(F.struct(*values), F.struct(*order))
     return rows.groupBy(*keys).agg(newest.alias("_row")).select(*keys, "_row.*").select(*rows.columns)

@@ -330,6 +330,15 @@ def test_parts_are_decided_from_one_reading(spark):
     assert sorted(map(tuple, left.collect())) == [(str(i), (35 + i) % 3, 35 + i) for i in range(5)]
 
 
+def test_parts_are_decided_without_the_driver(spark):
+    """Keys are guessed to be few beside wide rows; they must not be sent through the driver, whatever the guess."""
+    wide = [f"parse_json('{{}}') AS v{n}" for n in range(9)]
+    rows = spark.range(600).selectExpr("CASE WHEN id % 50 > 0 THEN CAST(id % 50 AS STRING) END AS sample_id", "CAST(id % 3 AS INT) AS part_no", "id AS seq", *wide)
+    left = samples.last_write_wins(rows, ["sample_id"], [F.col("seq")])
+    assert "Broadcast" not in left._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.seq for r in left.collect()) == [*range(550, 600)]
+
+
 def test_packed_json_lines(spark, tmp_path):
     rows = spark.range(2000).selectExpr("id", "repeat('same ', 50) AS text", "CAST(NULL AS INT) AS n")
     sizes = {}
