@@ -157,6 +157,17 @@ def test_labels(one):
         assert one(classify.labels_from_answers(F.try_parse_json(F.lit(useless))))[0] == []
 
 
+def test_evidence_is_text_or_truth(one):
+    """Notes of every kind: texts as they are, other values where they are true."""
+    keys = ["hard_hat", "reflective_vest", "smoking", "safety_shoes", "fighting"]
+    for notes, said in ((["t", "", "false", "0", " "], ["t", None, "false", "0", " "]), ([True, False, 0, 2, None], ["true", None, None, "2", None]), ([[], {}, [1], {"a": 1}, 0.0], [None, None, "[1]", '{"a":1}', None])):
+        raw = dict.fromkeys(keys, True) | {"notes": dict(zip(keys, notes, strict=True))}
+        labels = one(classify.labels_from_answers(F.try_parse_json(F.lit(json.dumps(raw)))))[0]
+        found = {v.label_key: v.evidence for v in labels}
+        names = {key: name for key, name, *_ in vocab.BOOLEAN_LABELS}
+        assert [found[names[key]] for key in keys] == [x or vocab.DEFAULT_EVIDENCE for x in said]
+
+
 def answers(one, value, fallback=False):
     read, ok = one(F.to_json(classify.read_answers(F.lit(value), fallback)), classify.answers_readable(F.lit(value), fallback))
     assert ok is (read is not None)

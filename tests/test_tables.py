@@ -339,6 +339,20 @@ def test_parts_are_decided_without_the_driver(spark):
     assert sorted(r.seq for r in left.collect()) == [*range(550, 600)]
 
 
+def test_results_are_worked_out_once(spark):
+    """Filters that follow from exploding a task's results must not hold the making of the results."""
+    from boxloom.operators import export
+
+    table = spark.createDataFrame([("s", 1, REPLY, None, None)], REPLY_SCHEMA)
+    result = annotate_directly(manifest_rows(spark, "s"), table, PLAN, RUN, classify=False)
+    tasks = export.export_tasks(result.samples)
+    assert tasks.columns == ["data", "predictions"]
+    rows = tasks.select("data.sample_id", F.explode(F.get("predictions", F.lit(0))["result"]).alias("r"))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "to_variant_object" in line]
+    assert [(r.sample_id, r.type) for r in rows.select("sample_id", F.try_variant_get("r", "$.type", "string").alias("type")).collect()] == [("s", "rectanglelabels")]
+
+
 def test_packed_json_lines(spark, tmp_path):
     rows = spark.range(2000).selectExpr("id", "repeat('same ', 50) AS text", "CAST(NULL AS INT) AS n")
     sizes = {}
